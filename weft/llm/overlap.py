@@ -17,6 +17,8 @@ MIN_LETTERS, PERCENT = 20, 10
 #: Ratio of the lengths in a band, and letters in a block of a band.
 BAND, BLOCK_LETTERS = 1.15, 2_500_000
 MAX_PAIRS = 3_000_000
+#: Size of a text's sketch: 2**BUCKET_BITS parities in WORDS words.
+BUCKET_BITS, WORDS = 10, 16
 
 
 def allowed(longer: np.ndarray | int):
@@ -48,53 +50,66 @@ def _rolling(codes: np.ndarray, s: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _sketches(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Parity of each text's letter pairs in 256 buckets, as four words.
+def _sketch(codes: np.ndarray, ends: np.ndarray, q: int, fold: bool) -> np.ndarray:
+    """Parity of each text's runs of ``q`` letters in ``64 * WORDS`` buckets.
 
-    An edit changes at most four pairs, so the sketches of two texts differ in
-    at most four bits an edit: a filter that loses nothing.
+    An edit takes away at most ``q`` runs and adds at most ``q``, so the
+    sketches of two texts differ in at most ``2 * q`` bits an edit, and their
+    four-word folds in no more: filters that lose nothing.
     """
-    pair = codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-    pair ^= pair >> np.uint64(31)
-    bucket = (pair * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(56)
-    bit = np.uint64(1) << (bucket & np.uint64(63))
-    inner = np.ones(len(codes), dtype=bool)
-    inner[ends[1:] - 1] = False  # a pair must not reach into the next text
-    word = bucket >> np.uint64(6)
-    out = np.zeros((len(ends) - 1, 4), dtype=np.uint64)
-    for w in range(4):
-        v = np.where((word == w) & inner[:-1], bit, np.uint64(0))
-        out[:, w] = np.bitwise_xor.reduceat(np.append(v, np.uint64(0)), ends[:-1])
-    return out
-
-
-def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, k: int) -> np.ndarray:
-    """Edit distances of padded rows of ``a`` and ``b`` within a band of ``k``; more comes out as ``k + 1``."""
-    n, width, big = len(a), 2 * k + 1, np.int32(k + 1)
-    offs = np.arange(width) - k
-    row = np.where(offs[None, :] >= 0, offs[None, :], big).astype(np.int32).repeat(n, 0)
-    row = np.minimum(row, big)
-    out = np.full(n, big, dtype=np.int32)
-    slope = np.arange(width, dtype=np.int32)[None, :]
+    rows = len(ends) - 1
+    h = _rolling(codes, q)
+    owner = np.repeat(np.arange(rows), np.diff(ends))
+    inside = np.flatnonzero(np.arange(len(h)) + q <= ends[owner[: len(h)] + 1])  # no run may reach into the next text
+    cell = owner[inside] * (64 * WORDS) + (h[inside] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    odd = np.zeros(rows * 64 * WORDS, dtype=np.uint8)
+    cell.sort()
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+    odd[cell[first]] = np.diff(np.r_[first, len(cell)]) & 1
+    full = np.packbits(odd.reshape(rows, 64 * WORDS), axis=1).view(np.uint64)
+    if not fold:
+        return full
+    small = full[:, 0:4].copy()
+    for w in range(4, WORDS, 4):
+        small ^= full[:, w : w + 4]
+    return np.concatenate([small, full], axis=1)
+
+
+def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, tau: np.ndarray) -> np.ndarray:
+    """Edit distances of padded rows of ``a`` and ``b``; more than ``tau`` comes out as a larger number.
+
+    All pairs advance together through a band of ``max(tau)`` on both sides;
+    a pair whose whole band exceeds its ``tau`` leaves early.
+    """
+    k = int(tau.max())
+    n, width, big = len(a), 2 * k + 1, np.int16(k + 1)
+    offs = (np.arange(width) - k).astype(np.int16)
+    row = np.minimum(np.where(offs >= 0, offs, big), big).astype(np.int16)[None, :].repeat(n, 0)
+    out = np.full(n, k + 1, dtype=np.int32)
+    slope = np.arange(width, dtype=np.int16)[None, :]
     rows = np.arange(n)
-    pad = np.full((n, k), 0xFFFFFFFF, dtype=np.uint64)
-    wide = np.concatenate([pad, b, np.full((n, k + a.shape[1] + 1), 0xFFFFFFFE, dtype=np.uint64)], axis=1)
+    wide = np.concatenate([np.full((n, k), 0xFFFFFFFF, dtype=np.uint32), b, np.full((n, k + a.shape[1] + 1), 0xFFFFFFFE, dtype=np.uint32)], axis=1)
     for i in range(1, a.shape[1] + 1):
-        piece = wide[:, i - 1 : i - 1 + width]  # b[j - 1] for j = i + offs
-        diag = row + (piece != a[:, i - 1 : i])
-        up = np.concatenate([row[:, 1:], np.full((n, 1), big, np.int32)], axis=1) + 1
-        new = np.minimum(diag, up)
-        j = i + offs
-        new[:, j < 0] = big
+        diag = row + (wide[:, i - 1 : i - 1 + width] != a[:, i - 1 : i])  # b[j - 1] for j = i + offs
+        np.minimum(diag[:, :-1], row[:, 1:] + np.int16(1), out=diag[:, :-1])
         if i <= k:
-            new[:, k - i] = i
-        new = np.minimum.accumulate(new - slope, axis=1) + slope
-        row = np.minimum(new, big).astype(np.int32)
+            diag[:, : k - i] = big
+            diag[:, k - i] = i
+        diag -= slope
+        np.minimum.accumulate(diag, axis=1, out=diag)
+        diag += slope
+        row = np.minimum(diag, big)
         done = la == i
         if done.any():
             at = lb[done] - i + k
             ok = (at >= 0) & (at < width)
-            out[rows[done][ok]] = row[rows[done][ok], at[ok]]
+            out[rows[done][ok]] = row[done][ok, at[ok]]
+        if i % 12 == 0:
+            live = (la > i) & (row.min(axis=1) <= tau)
+            if not live.all():
+                if not live.any():
+                    break
+                row, wide, a, la, lb, tau, rows = row[live], wide[live], a[live], la[live], lb[live], tau[live], rows[live]
     return out
 
 
@@ -115,7 +130,8 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
     el, tl = np.diff(ee), np.diff(te)
     edits = np.array([most_edits(int(n)) for n in range(int(el.max()) + 1)], dtype=np.int64)[el] if el.max() < 100_000 else np.array([most_edits(int(n)) for n in el])
     size = el // (edits + 1)
-    es, ts = _sketches(ec, ee), _sketches(tc, te)
+    es, ts = _sketch(ec, ee, 2, True), _sketch(tc, te, 2, True)
+    es3, ts3 = _sketch(ec, ee, 3, False), _sketch(tc, te, 3, False)
     owner = np.repeat(np.arange(len(tl)), tl)
     found: list[np.ndarray] = []
     for s in np.unique(size):
@@ -177,7 +193,13 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
                 for w in range(1, 4):
                     far += np.bitwise_count(es[e, w] ^ ts[t, w])
                 near = far <= 4 * tau
-                found.append(np.unique(e[near] * np.int64(len(tl)) + t[near]))
+                key = np.unique(e[near] * np.int64(len(tl)) + t[near])
+                e, t = key // len(tl), key % len(tl)
+                tau = allowed(np.maximum(tl[t], el[e]))
+                near = np.bitwise_count(es[e, 4:] ^ ts[t, 4:]).sum(axis=1, dtype=np.int64) <= 4 * tau
+                key, e, t, tau = key[near], e[near], t[near], tau[near]
+                near = np.bitwise_count(es3[e] ^ ts3[t]).sum(axis=1, dtype=np.int64) <= 6 * tau
+                found.append(key[near])
             start = stop
     if not found:
         return []
@@ -192,11 +214,11 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
         step = max(1, min(2_000, 4_000_000 // max(1, longest * 3)))
         x, y = e[at : at + step], t[at : at + step]
         tau = allowed(np.maximum(el[x], tl[y]))
-        a, b = np.zeros((len(x), int(el[x].max())), np.uint64), np.zeros((len(y), int(tl[y].max())), np.uint64)
+        a, b = np.zeros((len(x), int(el[x].max())), np.uint32), np.zeros((len(y), int(tl[y].max())), np.uint32)
         for r, (i, j) in enumerate(zip(x, y)):
             a[r, : el[i]] = ec[ee[i] : ee[i + 1]]
             b[r, : tl[j]] = tc[te[j] : te[j + 1]]
-        d = banded_distance(a, el[x], b, tl[y], int(tau.max()))
+        d = banded_distance(a, el[x], b, tl[y], tau)
         good = d <= tau
         out += zip(x[good].tolist(), y[good].tolist(), d[good].tolist())
         at += step
