@@ -16,6 +16,8 @@ MAX_COMMON, LABELLED = 20_000, 1_800
 BREAKS = r"[\n\r\t|;,.!?…。，；、！？：=<>{}\[\]/\\#*_~^@$%&+]+|\s[-–—•·]+\s|\s{3,}"
 #: A line end that only wraps a long line (a fixed pattern).
 WRAP = r"\r?\n(?<=[^\n]{36}\n)(?<![.!?…。！？；;:：]\r?\n)(?=[\p{L}\p{N}“\"'])"
+#: Characters that end a line of prose (fixed values).
+ENDS = tuple(".!?…。！？；;:：”»\"")
 #: Statistics the rules may test.
 FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "odd_share", "mean_word", "end_punct_share", "mean_run", "single_share")
 
@@ -24,6 +26,16 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.round(a.cast("double") / F.greatest(b.cast("double"), F.lit(1.0)), 6)
 
 
+def _once(df: DataFrame, keep: list[str], *made: Column) -> DataFrame:
+    """Like ``select``, but no later step copies the expressions into itself.
+
+    They become the fields of a one-row generator, which the optimizer neither
+    merges with other projections nor pushes filters through, so that each is
+    computed once a row.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*made))))
+
+
 def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of statistics a document, from built-in expressions alone.
 
@@ -39,44 +51,64 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     dense = [w for w in words if w not in set(spaced)]
     t = F.col("_t")
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.regexp_replace(F.col(text_col), r"[­​-‏⁠﻿]", "").alias("_t"))
-    base = base.withColumn("_low", F.lower(t)).withColumn("_dense", F.regexp_replace(t, r"[^฀-๿一-鿿]", ""))
     # a common word of an unspaced script stands for itself; elsewhere words are looked up in a hash set
     dense_hits = F.regexp_count(t, F.lit("|".join(sorted(dense, key=lambda w: (-len(w), w))))) if dense else F.lit(0)
-    base = (
-        base.withColumn("_w", F.filter(F.split(F.regexp_replace("_low", r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), r"[^\p{L}\p{M}\p{N}'’-]+"), lambda w: F.length(w) > 0))
-        .withColumn("_r", F.filter(F.transform(F.split(F.regexp_replace(F.regexp_replace(t, r"([一-鿿])", "$1$1$1$1"), WRAP, " "), BREAKS), lambda s: F.length(F.trim(s))), lambda n: n > 0))
-        .withColumn("_l", F.filter(F.transform(F.split(t, r"[\r\n]+"), lambda s: F.trim(s)), lambda s: F.length(s) > 0))
-    )
-    n = F.size("_w")
-    total = F.aggregate("_r", F.lit(0), lambda a, x: a + x)
 
     def run(k: int) -> Column:
-        return _ratio(F.aggregate("_r", F.lit(0), lambda a, x: a + F.when(x >= k, x).otherwise(0)), total)
-
-    # repeats count within windows of 256 words, so that a long text does not look repetitive
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: F.xxhash64(F.shiftright(i, 8), F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))
-    chars = F.length(t)
-    letters = F.length(F.regexp_replace(t, r"[^\p{L}\p{M}]", ""))
-    digits = F.length(F.regexp_replace(t, r"[^\p{N}]", ""))
-    blanks = F.length(F.regexp_replace(t, r"[^\s\p{Z}]", ""))
-    common = F.size(F.filter("_w", lambda w: w.isin(spaced))) if spaced else F.lit(0)
-    return base.select(
-        "doc_id",
-        chars.alias("chars"),
-        n.alias("words"),
+        return F.aggregate("_r", F.lit(0), lambda a, x: a + F.when(x >= k, x).otherwise(0))
+
+    parts = _once(
+        base,
+        ["doc_id"],
+        F.length(t).alias("chars"),
+        dense_hits.alias("_dense"),
+        F.length(F.regexp_replace(t, r"[^\p{L}\p{M}]+", "")).alias("_letters"),
+        F.length(F.regexp_replace(t, r"[^\p{N}]+", "")).alias("_digits"),
+        F.length(F.regexp_replace(t, r"[^\s\p{Z}]+", "")).alias("_blanks"),
+        F.filter(F.split(F.regexp_replace(F.lower(t), r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), r"[^\p{L}\p{M}\p{N}'’-]+"), lambda w: F.length(w) > 0).alias("_w"),
+        F.filter(
+            F.transform(F.split(F.regexp_replace(F.regexp_replace(t, r"([一-鿿])", "$1$1$1$1"), WRAP, " "), BREAKS), lambda s: F.length(F.trim(s))),
+            lambda n: n > 0,
+        ).alias("_r"),
+        F.filter(F.transform(F.split(t, r"[\r\n]+"), lambda s: F.trim(s)), lambda s: F.length(s) > 0).alias("_l"),
+    )
+    parts = _once(
+        parts,
+        ["doc_id", "chars", "_dense", "_letters", "_digits", "_blanks", "_w", "_l", "_r"],
+        F.size("_w").alias("words"),
         F.size("_l").alias("lines"),
-        _ratio(F.aggregate("_w", F.lit(0), lambda a, x: a + F.length(x)), n).alias("mean_word"),
-        _ratio(digits, chars).alias("digit_share"),
-        _ratio(chars - letters - digits - blanks, chars).alias("symbol_share"),
-        _ratio(common + F.lit(2) * dense_hits, n).alias("common_share"),
-        _ratio(F.size(F.filter("_l", lambda s: s.rlike(r"[.!?…。！？；;:：”»\"]$"))), F.size("_l")).alias("end_punct_share"),
-        _ratio(F.size(F.array_distinct("_l")), F.size("_l")).alias("distinct_lines"),
-        _ratio(F.size(F.array_distinct(grams)), F.greatest(n - 2, F.lit(1))).alias("distinct_grams"),
-        _ratio(F.size(F.filter("_w", lambda w: w.rlike(r"\p{L}\p{N}|\p{N}\p{L}|[bcdfghjklmnpqrstvwxz]{5}"))), n).alias("odd_share"),
-        _ratio(F.size(F.filter("_l", lambda s: F.length(s) < 25)), F.size("_l")).alias("single_share"),
-        run(30).alias("run30"),
-        run(45).alias("run45"),
-        run(60).alias("run60"),
+        F.aggregate("_r", F.lit(0), lambda a, x: a + x).alias("_total"),
+        *[run(k).alias(f"_run{k}") for k in (30, 45, 60)],
+        F.aggregate("_w", F.lit(0), lambda a, x: a + F.length(x)).alias("_word_chars"),
+        # repeats count within windows of 256 words, so that a long text does not look repetitive
+        F.size(
+            F.array_distinct(
+                F.transform(
+                    F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0))),
+                    lambda i: F.xxhash64(F.shiftright(i, 8), F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)),
+                )
+            )
+        ).alias("_grams"),
+        (F.size(F.filter("_w", lambda w: w.isin(spaced))) if spaced else F.lit(0)).alias("_common"),
+        F.size(F.filter("_w", lambda w: w.rlike(r"\p{L}\p{N}|\p{N}\p{L}|[bcdfghjklmnpqrstvwxz]{5}"))).alias("_odd"),
+        F.size(F.array_distinct("_l")).alias("_lines"),
+        F.size(F.filter("_l", lambda s: F.substring(s, -1, 1).isin(*ENDS))).alias("_ended"),
+        F.size(F.filter("_l", lambda s: F.length(s) < 25)).alias("_short"),
+    )
+    words_, lines, chars, total = F.col("words"), F.col("lines"), F.col("chars"), F.col("_total")
+    return _once(
+        parts,
+        ["doc_id", "chars", "words", "lines"],
+        _ratio(F.col("_word_chars"), words_).alias("mean_word"),
+        _ratio(F.col("_digits"), chars).alias("digit_share"),
+        _ratio(chars - F.col("_letters") - F.col("_digits") - F.col("_blanks"), chars).alias("symbol_share"),
+        _ratio(F.col("_common") + F.lit(2) * F.col("_dense"), words_).alias("common_share"),
+        _ratio(F.col("_ended"), lines).alias("end_punct_share"),
+        _ratio(F.col("_lines"), lines).alias("distinct_lines"),
+        _ratio(F.col("_grams"), F.greatest(words_ - 2, F.lit(1))).alias("distinct_grams"),
+        _ratio(F.col("_odd"), words_).alias("odd_share"),
+        _ratio(F.col("_short"), lines).alias("single_share"),
+        *[_ratio(F.col(f"_run{k}"), total).alias(f"run{k}") for k in (30, 45, 60)],
         _ratio(total, F.size("_r")).alias("mean_run"),
     )
 
