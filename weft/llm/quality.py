@@ -13,7 +13,9 @@ from weft.llm.encoding import reference_texts
 #: Bounds of what the driver may hold: common words, and labelled documents to learn from.
 MAX_COMMON, LABELLED = 20_000, 1_800
 #: Signs that end a stretch of prose or stand between items (a fixed pattern).
-BREAKS = r"[\n\r\t|;,.!?…。，；、！？：=<>{}\[\]/\\#*_~^@$%&+]+|\s[-–—•·]+\s|\s{3,}"
+BREAKS = r"[\n\r\t|;,.!?…。，；、！？：=<>{}\[\]/\\#*_~^@$%&+]+| [-–—•·]+ |   +"
+#: What stands between words: blanks and signs, but no apostrophe or hyphen (a fixed pattern).
+GAPS = r"[\x00-&(-,./:-@\[-`{-\xa0¡-©«-´¶-¹»-¿…–—“”•‹›。，；、！？：（）《》「」【】\u3000]+"
 #: A line end that only wraps a long line (a fixed pattern).
 WRAP = r"\r?\n(?<=[^\n]{36}\n)(?<![.!?…。！？；;:：]\r?\n)(?=[\p{L}\p{N}“\"'])"
 #: Characters that end a line of prose (fixed values).
@@ -50,7 +52,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     spaced = [w for w in words if w.isascii() or not any("฀" <= c <= "๿" or "一" <= c <= "鿿" for c in w)]
     dense = [w for w in words if w not in set(spaced)]
     t = F.col("_t")
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.regexp_replace(F.col(text_col), r"[­​-‏⁠﻿]", "").alias("_t"))
+    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.translate(F.col(text_col), "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff", "").alias("_t"))
     # a common word of an unspaced script stands for itself; elsewhere words are looked up in a hash set
     dense_hits = F.regexp_count(t, F.lit("|".join(sorted(dense, key=lambda w: (-len(w), w))))) if dense else F.lit(0)
 
@@ -62,10 +64,10 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         ["doc_id"],
         F.length(t).alias("chars"),
         dense_hits.alias("_dense"),
-        F.length(F.regexp_replace(t, r"[^\p{L}\p{M}]+", "")).alias("_letters"),
-        F.length(F.regexp_replace(t, r"[^\p{N}]+", "")).alias("_digits"),
-        F.length(F.regexp_replace(t, r"[^\s\p{Z}]+", "")).alias("_blanks"),
-        F.filter(F.split(F.regexp_replace(F.lower(t), r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), r"[^\p{L}\p{M}\p{N}'’-]+"), lambda w: F.length(w) > 0).alias("_w"),
+        F.length(F.translate(t, "0123456789", "")).alias("_undigits"),
+        F.length(F.translate(t, " \n\r\t\u00a0\u3000", "")).alias("_solid"),
+        F.regexp_count(t, F.lit(r"[a-zA-Z][0-9]|[0-9][a-zA-Z]|[bcdfghjklmnpqrstvwxz]{5}")).alias("_odd"),
+        F.filter(F.split(F.regexp_replace(F.lower(t), r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), GAPS), lambda w: F.length(w) > 0).alias("_w"),
         F.filter(
             F.transform(F.split(F.regexp_replace(F.regexp_replace(t, r"([一-鿿])", "$1$1$1$1"), WRAP, " "), BREAKS), lambda s: F.length(F.trim(s))),
             lambda n: n > 0,
@@ -74,7 +76,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     )
     parts = _once(
         parts,
-        ["doc_id", "chars", "_dense", "_letters", "_digits", "_blanks", "_w", "_l", "_r"],
+        ["doc_id", "chars", "_dense", "_undigits", "_solid", "_odd", "_w", "_l", "_r"],
         F.size("_w").alias("words"),
         F.size("_l").alias("lines"),
         F.aggregate("_r", F.lit(0), lambda a, x: a + x).alias("_total"),
@@ -90,7 +92,6 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
             )
         ).alias("_grams"),
         (F.size(F.filter("_w", lambda w: w.isin(spaced))) if spaced else F.lit(0)).alias("_common"),
-        F.size(F.filter("_w", lambda w: w.rlike(r"\p{L}\p{N}|\p{N}\p{L}|[bcdfghjklmnpqrstvwxz]{5}"))).alias("_odd"),
         F.size(F.array_distinct("_l")).alias("_lines"),
         F.size(F.filter("_l", lambda s: F.substring(s, -1, 1).isin(*ENDS))).alias("_ended"),
         F.size(F.filter("_l", lambda s: F.length(s) < 25)).alias("_short"),
@@ -100,8 +101,8 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         parts,
         ["doc_id", "chars", "words", "lines"],
         _ratio(F.col("_word_chars"), words_).alias("mean_word"),
-        _ratio(F.col("_digits"), chars).alias("digit_share"),
-        _ratio(chars - F.col("_letters") - F.col("_digits") - F.col("_blanks"), chars).alias("symbol_share"),
+        _ratio(chars - F.col("_undigits"), chars).alias("digit_share"),
+        _ratio(F.col("_solid") - F.col("_word_chars"), chars).alias("symbol_share"),
         _ratio(F.col("_common") + F.lit(2) * F.col("_dense"), words_).alias("common_share"),
         _ratio(F.col("_ended"), lines).alias("end_punct_share"),
         _ratio(F.col("_lines"), lines).alias("distinct_lines"),
@@ -143,7 +144,7 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
         return " ".join(w[a : a + k])
 
     def junk(lang: str, size: int) -> str:
-        kind = rng.randrange(18)
+        kind = rng.randrange(22)
         k = max(6, size // 22)
         num = lambda: rng.choice([str(rng.randint(0, 9999)), f"{rng.random():.4f}", f"{rng.random() * 20:.2f}"])
         p = lambda: phrase(lang)
@@ -186,6 +187,13 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
             return "{" + ", ".join(f'"{rand(3, 8)}": {rng.choice([num(), chr(34) + p() + chr(34)])}' for _ in range(k)) + "}"
         if kind == 16:
             return "\n".join(p() + "." for _ in range(k))
+        if kind in (17, 18):
+            syllable = lambda: rng.choice("bcdfghjklmnpqrstvwxz") + rng.choice("aeiou") + rng.choice(["", "", "q", "x", "rz", "r", "n", "k", "s"])
+            return " ".join("".join(syllable() for _ in range(rng.randint(1, 5))) for _ in range(k * 3))
+        if kind == 19:
+            return " ".join(rng.choice(["Mute", "Share", "Play", "0:00", "Next »", "« Back", "Login", "Help", "Home", f"Page {num()}", "EN | TH | ID", "Download .wav"]) for _ in range(k))
+        if kind == 20:
+            return "\n".join(f"{p()} {rng.choice(['=', '->', ':', '–'])} {p()}" for _ in range(k))
         return "\n".join(f"{i:08x}  " + " ".join(rand(2, 2, "0123456789abcdef") for _ in range(16)) for i in range(0, k * 8, 16))
 
     def prose(lang: str, k: int) -> str:
