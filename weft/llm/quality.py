@@ -15,13 +15,13 @@ MAX_COMMON, LABELLED = 20_000, 1_800
 #: Signs that end a stretch of prose or stand between items (a fixed pattern).
 BREAKS = r"[\n\r\t|;,.!?…。，；、！？：=<>{}\[\]/\\#*_~^@$%&+]+| [-–—•·]+ |   +"
 #: What stands between words: blanks and signs, but no apostrophe or hyphen (a fixed pattern).
-GAPS = r"[\x00-&(-,./:-@\[-`{-\xa0¡-©«-´¶-¹»-¿…–—“”•‹›。，；、！？：（）《》「」【】\u3000]+"
+GAPS = r"[ \n\r\t.,;:!?…|\"()\[\]]+"
 #: A line end that only wraps a long line (a fixed pattern).
 WRAP = r"\r?\n(?<=[^\n]{36}\n)(?<![.!?…。！？；;:：]\r?\n)(?=[\p{L}\p{N}“\"'])"
 #: Characters that end a line of prose (fixed values).
 ENDS = tuple(".!?…。！？；;:：”»\"")
 #: Statistics the rules may test.
-FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "odd_share", "mean_word", "end_punct_share", "mean_run", "single_share")
+FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "mean_word", "end_punct_share", "mean_run", "single_share")
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -54,7 +54,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     t = F.col("_t")
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.translate(F.col(text_col), "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff", "").alias("_t"))
     # a common word of an unspaced script stands for itself; elsewhere words are looked up in a hash set
-    dense_hits = F.regexp_count(t, F.lit("|".join(sorted(dense, key=lambda w: (-len(w), w))))) if dense else F.lit(0)
+    dense_hits = F.when(t.rlike("[฀-๿一-鿿]"), F.regexp_count(t, F.lit("|".join(sorted(dense, key=lambda w: (-len(w), w)))))).otherwise(0) if dense else F.lit(0)
 
     def run(k: int) -> Column:
         return F.aggregate("_r", F.lit(0), lambda a, x: a + F.when(x >= k, x).otherwise(0))
@@ -66,7 +66,6 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         dense_hits.alias("_dense"),
         F.length(F.translate(t, "0123456789", "")).alias("_undigits"),
         F.length(F.translate(t, " \n\r\t\u00a0\u3000", "")).alias("_solid"),
-        F.regexp_count(t, F.lit(r"[a-zA-Z][0-9]|[0-9][a-zA-Z]|[bcdfghjklmnpqrstvwxz]{5}")).alias("_odd"),
         F.filter(F.split(F.regexp_replace(F.lower(t), r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), GAPS), lambda w: F.length(w) > 0).alias("_w"),
         F.filter(
             F.transform(F.split(F.regexp_replace(F.regexp_replace(t, r"([一-鿿])", "$1$1$1$1"), WRAP, " "), BREAKS), lambda s: F.length(F.trim(s))),
@@ -76,7 +75,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     )
     parts = _once(
         parts,
-        ["doc_id", "chars", "_dense", "_undigits", "_solid", "_odd", "_w", "_l", "_r"],
+        ["doc_id", "chars", "_dense", "_undigits", "_solid", "_w", "_l", "_r"],
         F.size("_w").alias("words"),
         F.size("_l").alias("lines"),
         F.aggregate("_r", F.lit(0), lambda a, x: a + x).alias("_total"),
@@ -107,7 +106,6 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         _ratio(F.col("_ended"), lines).alias("end_punct_share"),
         _ratio(F.col("_lines"), lines).alias("distinct_lines"),
         _ratio(F.col("_grams"), F.greatest(words_ - 2, F.lit(1))).alias("distinct_grams"),
-        _ratio(F.col("_odd"), words_).alias("odd_share"),
         _ratio(F.col("_short"), lines).alias("single_share"),
         *[_ratio(F.col(f"_run{k}"), total).alias(f"run{k}") for k in (30, 45, 60)],
         _ratio(total, F.size("_r")).alias("mean_run"),
