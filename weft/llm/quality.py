@@ -301,7 +301,7 @@ def induce_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES
 
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule = rule[:-1]
-        if not rule or worth(rule) < 0.6:
+        if not rule or worth(rule) < 0.8:
             break
         rules.append(rule)
         left &= ~covers(rule, x)
