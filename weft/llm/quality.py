@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ WRAP = r"\r?\n(?<=[^\n]{36}\n)(?<![.!?…。！？；;:：]\r?\n)(?=[\p{L}\p{N}
 #: Characters that end a line of prose (fixed values).
 ENDS = tuple(".!?…。！？；;:：”»\"")
 #: Statistics the rules may test.
-FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "mean_word", "end_punct_share", "mean_run", "single_share")
+FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "end_punct_share", "mean_run", "single_share")
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -48,7 +49,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     blocks of four characters as words. Null text gives null statistics, empty
     and blank text zeros. Whole texts are read and nothing is shuffled.
     """
-    words = sorted({r[0].lower() for r in common_words.where("word is not null").select("word").distinct().limit(MAX_COMMON).collect()})
+    words = sorted({unicodedata.normalize(form, r[0].lower()) for form in ("NFC", "NFD") for r in common_words.where("word is not null").select("word").distinct().limit(MAX_COMMON).collect()})
     spaced = [w for w in words if w.isascii() or not any("฀" <= c <= "๿" or "一" <= c <= "鿿" for c in w)]
     dense = [w for w in words if w not in set(spaced)]
     t = F.col("_t")
