@@ -13,8 +13,8 @@ UNSPACED = "[฀-๿က-႟]"
 
 
 def normal_text(c: Column, keep_blanks: bool = False) -> Column:
-    """Lower case, letters, marks and numbers only; optionally with blanks."""
-    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}\p{M}\s]" if keep_blanks else r"[^\p{L}\p{N}\p{M}]", "")
+    """Lower case (a final sigma as any other), letters, marks and numbers only; optionally with blanks."""
+    return F.regexp_replace(F.lower(F.replace(c, F.lit("Σ"), F.lit("σ"))), r"[^\p{L}\p{N}\p{M}\s]" if keep_blanks else r"[^\p{L}\p{N}\p{M}]", "")
 
 
 def tokens(c: Column) -> Column:
