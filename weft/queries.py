@@ -216,7 +216,7 @@ GROUPS = "g AS (SELECT source_id AS group_id, coalesce(s.lang, '?') AS lang, cou
 
 
 @query(f"""WITH {GROUPS}, t AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total, coalesce(sum(CASE WHEN pinned THEN n END) OVER (PARTITION BY lang), 0) AS held FROM g),
-q AS (SELECT *, least(200, greatest(1, least(16, floor(total / 5), round(total * 0.02)))) AS quota, sha256('split:' || group_id) AS h FROM t),
+q AS (SELECT *, least(200, greatest(1, least(16, floor(total / 5)), round(total * 0.02))) AS quota, sha256('split:' || group_id) AS h FROM t),
 f AS (SELECT *, coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, lead(group_id) OVER w AS after FROM q WHERE NOT pinned WINDOW w AS (PARTITION BY lang ORDER BY h, group_id))
 SELECT group_id, CASE WHEN held + before < quota AND after IS NOT NULL THEN 'val' ELSE 'train' END AS split FROM f UNION ALL SELECT group_id, 'val' FROM q WHERE pinned""")
 def group_split(s, d):

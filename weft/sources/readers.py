@@ -22,8 +22,9 @@ def read_torn_manifest(spark: SparkSession, path: str, schema: str) -> tuple[Dat
     last = lines.groupBy("file").agg(F.max("pos").alias("last"))
     good = F.expr("try_parse_json(value)").isNotNull() & F.col("value").rlike(r"^\s*\{")
     marked = parsed.join(last, "file").withColumn("good", good)
-    checked = marked.withColumn("row", F.when(F.col("good") | (F.col("pos") == F.col("last")), F.col("row")).otherwise(F.raise_error(F.concat(F.lit("broken line inside "), F.col("file"))).cast(marked.schema["row"].dataType)))
-    return checked.where("good").select("row.*"), checked.where("not good and row is not null").select("file", "value")
+    broken = F.raise_error(F.concat(F.lit("broken line inside "), F.col("file"))).cast("boolean")
+    sound = F.when(F.col("good") | (F.col("pos") == F.col("last")), F.col("good")).otherwise(broken)
+    return marked.where(sound).select("row.*"), marked.where(~sound).select("file", "value")
 
 
 def pick_column(df: DataFrame, candidates: tuple[str, ...]) -> str:

@@ -29,7 +29,7 @@ def merge_append(old: DataFrame, new: DataFrame, batch: str, path_col: str = "au
     """A new batch replaces its earlier rows; then the first row of each path stays."""
     kept = old.join(new.select(batch).distinct(), batch, "left_anti").withColumn("_o", F.lit(0))
     both = kept.unionByName(new.withColumn("_o", F.lit(1)), allowMissingColumns=True)
-    return keep_first(both, [path_col], ["_o", batch]).drop("_o")
+    return keep_first(both, [path_col], ["_o", batch]).select(*old.columns, *[c for c in new.columns if c not in old.columns])
 
 
 def write_batches(df: DataFrame, path: str, by: str) -> None:
