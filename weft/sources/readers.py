@@ -42,8 +42,10 @@ def read_shards(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def explode_utterances(df: DataFrame, column: str = "utterances") -> DataFrame:
     """Rows of parallel arrays ``text, start, end, utt_id`` as one row an utterance; empty texts dropped."""
-    c = F.col(column)
-    zipped = F.arrays_zip(c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end"), c["utt_id"].alias("utt_id"))
+    def part(name: str, kind: str):  # a missing array leaves nulls
+        return F.coalesce(F.col(column)[name], F.array().cast(f"array<{kind}>")).alias(name)
+
+    zipped = F.arrays_zip(part("text", "string"), part("start", "double"), part("end", "double"), part("utt_id", "string"))
     rest = [x for x in df.columns if x != column]
     return df.select(*rest, F.posexplode(zipped).alias("n", "u")).select(*rest, "n", "u.text", "u.start", "u.end", "u.utt_id").where("trim(text) <> ''")
 
