@@ -17,8 +17,6 @@ MIN_LETTERS, PERCENT = 20, 10
 #: Ratio of the lengths in a band, and letters in a block of a band.
 BAND, BLOCK_LETTERS = 1.15, 2_500_000
 MAX_PAIRS = 3_000_000
-#: Size of a text's sketch: 2**BUCKET_BITS parities in WORDS words.
-BUCKET_BITS, WORDS = 10, 16
 
 
 def allowed(longer: np.ndarray | int):
@@ -50,29 +48,33 @@ def _rolling(codes: np.ndarray, s: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _sketch(codes: np.ndarray, ends: np.ndarray, q: int, fold: bool) -> np.ndarray:
-    """Parity of each text's runs of ``q`` letters in ``64 * WORDS`` buckets.
+def _sketch(codes: np.ndarray, ends: np.ndarray, q: int, words: int) -> np.ndarray:
+    """Parity of each text's runs of ``q`` letters in ``64 * words`` buckets.
 
     An edit takes away at most ``q`` runs and adds at most ``q``, so the
-    sketches of two texts differ in at most ``2 * q`` bits an edit, and their
-    four-word folds in no more: filters that lose nothing.
+    sketches of two texts differ in at most ``2 * q`` bits an edit: a filter
+    that loses nothing.
     """
-    rows = len(ends) - 1
+    rows, size = len(ends) - 1, 64 * words
     h = _rolling(codes, q)
     owner = np.repeat(np.arange(rows), np.diff(ends))
     inside = np.flatnonzero(np.arange(len(h)) + q <= ends[owner[: len(h)] + 1])  # no run may reach into the next text
-    cell = owner[inside] * (64 * WORDS) + (h[inside] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    odd = np.zeros(rows * 64 * WORDS, dtype=np.uint8)
+    cell = owner[inside] * size + (h[inside] >> np.uint64(64 - (size.bit_length() - 1))).astype(np.int64)
+    odd = np.zeros(rows * size, dtype=np.uint8)
     cell.sort()
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
     odd[cell[first]] = np.diff(np.r_[first, len(cell)]) & 1
-    full = np.packbits(odd.reshape(rows, 64 * WORDS), axis=1).view(np.uint64)
-    if not fold:
-        return full
-    small = full[:, 0:4].copy()
-    for w in range(4, WORDS, 4):
-        small ^= full[:, w : w + 4]
-    return np.concatenate([small, full], axis=1)
+    return np.packbits(odd.reshape(rows, size), axis=1).view(np.uint64)
+
+
+def _differ(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which rows ``x`` of ``a`` and ``y`` of ``b`` differ."""
+    n = np.bitwise_count(a[x] ^ b[y]).view(np.uint64)  # one byte a word, summed in 16-bit lanes
+    lanes = np.uint64(0x00FF00FF00FF00FF)
+    n = (n & lanes) + ((n >> np.uint64(8)) & lanes)
+    if n.shape[1] > 1:
+        n = n.sum(axis=1, keepdims=True)
+    return ((n[:, 0] * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
 
 
 def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, tau: np.ndarray) -> np.ndarray:
@@ -119,9 +121,14 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
     An evaluation text with at most ``k`` edits to any other is cut into
     ``k + 1`` segments; a training text within ``k`` edits holds one of them
     unchanged at a position that the number of segments before and after it
-    allows. Hashes of all training substrings of the segments' lengths are
-    looked up; pairs found are screened by length, position and letter-pair
-    sketch and verified by banded dynamic programming.
+    allows. Walking from the left, take the first segment by which there have
+    been fewer edits than segments: it is unchanged, exactly as many edits as
+    segments lie before it, and any run of ``l`` segments that ends with it has
+    at most ``l - 1`` edits. So its left neighbour has at most one, which leaves
+    half of it unchanged at a distance known up to one letter. Hashes of all
+    training substrings of the segments' lengths are looked up; pairs found are
+    screened by length, position, left neighbour and sketches, and verified by
+    banded dynamic programming.
     """
     if not eval_texts or not train_texts:
         return []
@@ -130,8 +137,8 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
     el, tl = np.diff(ee), np.diff(te)
     edits = np.array([most_edits(int(n)) for n in range(int(el.max()) + 1)], dtype=np.int64)[el] if el.max() < 100_000 else np.array([most_edits(int(n)) for n in el])
     size = el // (edits + 1)
-    es, ts = _sketch(ec, ee, 2, True), _sketch(tc, te, 2, True)
-    es3, ts3 = _sketch(ec, ee, 3, False), _sketch(tc, te, 3, False)
+    es, ts = _sketch(ec, ee, 3, 16), _sketch(tc, te, 3, 16)
+    es2, ts2 = _sketch(ec, ee, 2, 16), _sketch(tc, te, 2, 16)
     owner = np.repeat(np.arange(len(tl)), tl)
     found: list[np.ndarray] = []
     for s in np.unique(size):
@@ -152,6 +159,8 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
         th = _rolling(tc, s)
         if not len(th):
             continue
+        near_part, far_part = s // 2, s - s // 2
+        ea, eb, ta, tb = (np.append(_rolling(c, k), np.zeros(s, np.uint64)) for c, k in ((ec, far_part), (ec, near_part), (tc, far_part), (tc, near_part)))
         pos = np.flatnonzero(bits[(th >> np.uint64(42)).astype(np.int64)])
         tid = owner[pos]
         inside = pos + s <= te[tid + 1]
@@ -182,24 +191,22 @@ def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[in
             m = n[start:stop]
             idx = np.repeat(first[start:stop] - (np.cumsum(m) - m), m) + np.arange(m.sum())
             e, i = eid[idx], seg[idx]
-            t = np.repeat(tid[start:stop], m)
-            shift = np.repeat(p[start:stop], m) - i * s
+            t, q = np.repeat(tid[start:stop], m), np.repeat(p[start:stop], m)
+            shift = q - i * s
             delta = tl[t] - el[e]
             tau = allowed(np.maximum(tl[t], el[e]))
-            ok = (np.abs(shift) <= i) & (np.abs(shift - delta) <= edits[e] - i) & (np.abs(delta) <= tau)
-            e, t, tau = e[ok], t[ok], tau[ok]
-            if len(e):
-                far = np.bitwise_count(es[e, 0] ^ ts[t, 0]).astype(np.int64)
-                for w in range(1, 4):
-                    far += np.bitwise_count(es[e, w] ^ ts[t, w])
-                near = far <= 4 * tau
-                key = np.unique(e[near] * np.int64(len(tl)) + t[near])
-                e, t = key // len(tl), key % len(tl)
-                tau = allowed(np.maximum(tl[t], el[e]))
-                near = np.bitwise_count(es[e, 4:] ^ ts[t, 4:]).sum(axis=1, dtype=np.int64) <= 4 * tau
-                key, e, t, tau = key[near], e[near], t[near], tau[near]
-                near = np.bitwise_count(es3[e] ^ ts3[t]).sum(axis=1, dtype=np.int64) <= 6 * tau
-                found.append(key[near])
+            ok = np.flatnonzero((np.abs(shift) <= i) & (np.abs(shift - delta) <= edits[e] - i) & (np.abs(delta) <= tau))
+            e, t, i, q = e[ok], t[ok], i[ok], q[ok]
+            # of the segments that fit so, one also has at most one edit in the segment to its left
+            x, y = ee[e] + i * s, te[t] + q
+            ok = (i == 0) | (tb[y - near_part] == eb[x - near_part])
+            for d in (-1, 0, 1):
+                ok |= ta[np.maximum(y - s + d, 0)] == ea[x - s]
+            e, t, tau = e[ok], t[ok], allowed(np.maximum(tl[t[ok]], el[e[ok]]))
+            near = _differ(es, e, ts, t) <= 6 * tau
+            e, t, tau = e[near], t[near], tau[near]
+            near = _differ(es2, e, ts2, t) <= 4 * tau
+            found.append(np.unique(e[near] * np.int64(len(tl)) + t[near]))
             start = stop
     if not found:
         return []
