@@ -16,7 +16,7 @@ from weft.session import materialise
 MIN_LETTERS, PERCENT = 20, 10
 #: Ratio of the lengths in a band, and letters in a block of a band.
 BAND, BLOCK_LETTERS = 1.15, 2_500_000
-MAX_PAIRS = 3_000_000
+MAX_PAIRS = 150_000
 
 
 def allowed(longer: np.ndarray | int):
@@ -284,6 +284,9 @@ class CrossSplit:
             x, y = e[[h[0] for h in hits]] if hits else e[:0], t[[h[1] for h in hits]] if hits else t[:0]
             return pa.table({"e1": h1[x], "e2": h2[x], "t1": h1[y], "t2": h2[y], "edits": pa.array([h[2] for h in hits], pa.int32())})
 
+        # as many partitions as block pairs, at most a few thousand: adaptive execution would merge them by bytes, not by work
+        blocks = sum(-(-r["e"] // BLOCK_LETTERS) * -(-r["t"] // BLOCK_LETTERS) for r in sized)
+        work = work.repartition(max(1, min(4096, 2 * blocks)), "band", "eb", "tb")
         self.pairs = materialise(work.groupBy("band", "eb", "tb").applyInArrow(join, "e1 bigint, e2 bigint, t1 bigint, t2 bigint, edits int"), "overlap-pairs")
 
     def clip_pairs(self) -> DataFrame:
