@@ -28,8 +28,9 @@ def near_text(rows: DataFrame, protected: DataFrame, min_chars: int = 40, edits:
     counted by an equi-join before any distance is computed.
     """
     exact = rows.join(protected, ["lang", "norm"]).select("id", "item", F.lit(0).alias("distance"))
-    a = rows.where(F.length("norm") >= min_chars)
     b = protected.where(F.length("norm") >= min_chars)
+    lengths = b.select("lang", F.explode(F.sequence(F.length("norm") - edits, F.length("norm") + edits)).alias("_n")).distinct()
+    a = rows.where(F.length("norm") >= min_chars).withColumn("_n", F.length("norm")).join(lengths, ["lang", "_n"], "left_semi").drop("_n")
     ga = a.select("id", "lang", F.length("norm").alias("la"), F.explode(trigrams(F.col("norm"))).alias("g")).groupBy("id", "lang", "la", "g").agg(F.count("*").alias("na"))
     gb = b.select("item", "lang", F.length("norm").alias("lb"), F.explode(trigrams(F.col("norm"))).alias("g")).groupBy("item", "lang", "lb", "g").agg(F.count("*").alias("nb"))
     pairs = (
