@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from weft import queries as Q
 from weft.functions import audio
 from weft.functions.keys import double_order_key, identity_key
-from weft.operators import dedupe, identity, reports, rules, sampling
+from weft.operators import dedupe, identity, reports, rules, sampling, sequential
 from weft.operators.graph import connected_components
 from weft.operators.selection import radix_cutoffs, running_total
 from weft.sources import readers, writers
@@ -186,6 +186,20 @@ def test_stream_of_steps(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_sequential(spark):
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate([50.0, None, 20.0, 9.0, float("nan"), 1.0])], "g int, k int, v double")
+    assert [r["k"] for r in sequential.trim_to_budget(df, "g", "k", "v", 60.0).orderBy("k").collect()] == [0, 3, 5]
+    v = spark.createDataFrame([(1, 0, [1.0, 0.0]), (1, 1, [0.0, 2.0]), (1, 2, [0.9, 0.1]), (1, 3, None), (1, 4, [0.0, 0.0])], "g int, k int, v array<double>")
+    assert [r["cluster"] for r in sequential.leader_clusters(v, "g", "k", "v").orderBy("k").collect()] == [0, 1, 0, None, None]
+    r = spark.createDataFrame([([(0.0, 1.0), (1.5, 3.0), (5.0, 29.0), (29.1, 34.0)],), ([],), (None,)], "r array<struct<start:double,end:double>>")
+    got = [None if x[0] is None else [tuple(y) for y in x[0]] for x in r.select(sequential.merge_regions(F.col("r"))).collect()]
+    assert got == [[(0.0, 3.0), (5.0, 34.0)], [], None]
+    t = spark.createDataFrame([("a b c", "a x c d"), ("", "a"), (None, "a"), ("a", "")], "h string, r string")
+    assert [x[0] for x in t.select(sequential.word_error_rate("h", "r")).collect()] == [0.5, 1.0, None, 1.0]
+    assert [x[0] for x in t.select(sequential.sequence_ratio("h", "h")).collect()][:3] == [1.0, 1.0, None]
+    assert spark.range(1).select(sequential.sign_test(F.lit(5), F.lit(5))).first()[0] == 1 / 32
+
+
 def plain(rows):
     def one(v):
         if v is None or (isinstance(v, float) and math.isnan(v)):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import text as X
 from weft.functions.keys import identity_key
-from weft.operators import dedupe, graph, identity, reports, rules, sampling
+from weft.operators import dedupe, graph, identity, reports, rules, sampling, sequential
 from weft.session import table
 from weft.streaming import metrics
 
@@ -449,3 +449,92 @@ def nation_revenue(s, d):
     o = table(s, d, "orders").select("o_orderkey", "o_custkey")
     c = table(s, d, "customer").select("c_custkey", "c_nationkey").join(table(s, d, "nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     return per.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("n_name").agg(F.round(F.sum("r"), 2).alias("revenue"))
+
+
+@query()
+def word_errors(s, d):
+    r = table(s, d, "report_items").where("hyp is not null and text is not null")
+    return r.select("report_id", "case_id", "seed", F.round(sequential.word_error_rate(F.lower("hyp"), F.lower("text")), 6).alias("word_errors"), F.round(sequential.sequence_ratio("hyp", "text"), 6).alias("similarity"))
+
+
+@query("SELECT report_id, case_id, seed, round(levenshtein(hyp, text) / greatest(1, length(text)), 6) AS char_errors FROM report_items WHERE hyp IS NOT NULL AND text IS NOT NULL AND regexp_full_match(hyp || text, '[ -~]*')")
+def char_errors(s, d):
+    r = table(s, d, "report_items").where(F.concat("hyp", "text").rlike("^[ -~]*$"))  # the SQL distance counts bytes
+    return r.select("report_id", "case_id", "seed", F.round(X.character_error_rate(F.col("hyp"), F.col("text")), 6).alias("char_errors"))
+
+
+@query()
+def speaker_clusters(s, d):
+    return sequential.leader_clusters(table(s, d, "embeddings"), "label", "vec_id", "embedding")
+
+
+@query()
+def replay_budget(s, d):
+    c = ok_clips(s, d).select("source_id", "clip_id", "duration")
+    return sequential.trim_to_budget(c, "source_id", "clip_id", "duration", 600.0)
+
+
+@query("SELECT list_sort(list(DISTINCT source_id))[1] AS first_source, l.lang, count(*) AS clips FROM clips c JOIN (SELECT id, coalesce(lang, '?') AS lang FROM sources) l ON l.id = c.source_id GROUP BY l.lang")
+def source_by_language(s, d):
+    langs = table(s, d, "sources").select(F.col("id").alias("source_id"), F.coalesce("lang", F.lit("?")).alias("lang"))
+    return table(s, d, "clips").select("source_id").join(langs, "source_id").groupBy("lang").agg(F.min("source_id").alias("first_source"), F.count("*").alias("clips"))
+
+
+@query("SELECT o_orderpriority, count(*) AS orders FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') GROUP BY 1")
+def returned_orders(s, d):
+    back = table(s, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(s, d, "orders").join(back, "o_orderkey", "left_semi").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+
+
+@query("SELECT r_name, c_mktsegment, count(*) AS customers, round(avg(c_acctbal), 4) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, c_mktsegment)")
+def segment_rollup(s, d):
+    n = table(s, d, "nation").join(table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    c = table(s, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.rollup("r_name", "c_mktsegment").agg(F.count("*").alias("customers"), F.round(F.avg("c_acctbal"), 4).alias("balance"))
+
+
+@query("SELECT id, lang, quality, row_number() OVER (ORDER BY lang NULLS FIRST, quality DESC, id) AS position, row_number() OVER (PARTITION BY lang, expressive ORDER BY quality DESC, id) = 1 AS preferred FROM sources")
+def source_catalog(s, d):
+    src = table(s, d, "sources")  # the registry is small and fixed
+    return src.select(
+        "id", "lang", "quality", F.row_number().over(W.orderBy(F.asc_nulls_first("lang"), F.desc("quality"), "id")).alias("position"),
+        (F.row_number().over(W.partitionBy("lang", "expressive").orderBy(F.desc("quality"), "id")) == 1).alias("preferred"),
+    )
+
+
+@query("SELECT report_id, case_id, seed FROM report_items QUALIFY row_number() OVER (ORDER BY CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(case_id AS BIGINT) NULLS LAST, case_id, seed, report_id, scored_at, hyp NULLS LAST) <= 100")
+def case_order(s, d):
+    r = table(s, d, "report_items").withColumn("digits", F.col("case_id").rlike("^[0-9]+$"))
+    return r.orderBy(F.desc("digits"), F.asc_nulls_last(F.col("case_id").try_cast("bigint")), "case_id", "seed", "report_id", "scored_at", F.asc_nulls_last("hyp")).limit(100).select("report_id", "case_id", "seed")
+
+
+@query("""WITH a AS (SELECT DISTINCT case_id FROM report_items WHERE seed = (SELECT min(seed) FROM report_items)), b AS (SELECT DISTINCT case_id FROM report_items WHERE seed = (SELECT max(seed) FROM report_items))
+SELECT 'both' AS part, count(*) AS cases FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'first_only', count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'last_only', count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
+def case_sets(s, d):
+    r = table(s, d, "report_items")
+    ends = F.broadcast(r.agg(F.min("seed").alias("lo"), F.max("seed").alias("hi")))  # one row
+    per = r.join(ends).groupBy("case_id").agg(F.max(F.col("seed") == F.col("lo")).alias("a"), F.max(F.col("seed") == F.col("hi")).alias("b"))
+    parts = {"both": F.col("a") & F.col("b"), "first_only": F.col("a") & ~F.col("b"), "last_only": ~F.col("a") & F.col("b")}
+    counts = per.agg(*[F.count_if(p).alias(n) for n, p in parts.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("part"), F.col(n).alias("cases")) for n in parts])).alias("x")).select("x.part", "x.cases")
+
+
+@query("""SELECT turn_type, split, count(*) AS clips, round(avg(rate), 4) AS rate FROM clips WHERE rate IS NOT NULL AND NOT isnan(rate) GROUP BY CUBE (turn_type, split)""")
+def turn_cube(s, d):
+    return table(s, d, "clips").where("rate is not null and not isnan(rate)").cube("turn_type", "split").agg(F.count("*").alias("clips"), F.round(F.avg("rate"), 4).alias("rate"))
+
+
+@query("""SELECT time_bucket(INTERVAL '1 hour', ts) + (h.h * INTERVAL '-1 hour') AS start, event_type, count(*) AS events FROM events, (VALUES (0), (1)) h(h) GROUP BY 1, 2""")
+def sliding_events(s, d):
+    return metrics.sliding(table(s, d, "events")).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("SELECT event_id, user_id, value, (props->>'k')::INT AS k FROM events WHERE (props->>'k')::INT > 50 AND value > 0")
+def json_props(s, d):
+    return table(s, d, "events").where("value > 0").select("event_id", "user_id", "value", F.get_json_object("props", "$.k").try_cast("int").alias("k")).where("k > 50")
+
+
+@query("""WITH c AS (SELECT clip_id, recorded_at, ingested_at, source_id FROM clips) SELECT source_id, count(*) FILTER (ingested_at - recorded_at > INTERVAL '7 days') AS late, max(ingested_at) AS last FROM c GROUP BY 1""")
+def late_arrivals(s, d):
+    late = (F.col("ingested_at") - F.col("recorded_at")) > F.expr("interval 7 days")
+    return table(s, d, "clips").groupBy("source_id").agg(F.count_if(late).alias("late"), F.max("ingested_at").alias("last"))
