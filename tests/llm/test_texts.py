@@ -187,3 +187,33 @@ def test_quality_on_held_out_kinds(spark):
     got = {r["doc_id"]: r["is_prose"] for r in document_quality(docs, spark.read.parquet(f"{d}/lang_reference.parquet"), spark.read.parquet(f"{d}/common_words.parquet")).collect()}
     assert {k: got[k] for k in (1, 2, 3, 4, 5, 6, 7)} == {1: None, 2: None, 3: None, 4: 1, 5: 0, 6: 0, 7: 0}
     assert re.match(r"\d", str(got[8]))
+
+
+def test_empty_tables(spark, reference):
+    none = reference.where("false")
+    docs = spark.createDataFrame([(1, "- a\n- b"), (2, None)], "doc_id long, text string")
+    words_ = spark.createDataFrame([], "lang string, word string")
+    assert [r["is_prose"] for r in document_quality(docs, none, words_).orderBy("doc_id").collect()] == [1, None]
+    assert document_quality(docs.where("false"), reference, words_).count() == 0
+    rows = clips(spark, [("hello there my friend", "xx"), ("ni\ufffdo", "en")])
+    assert language_cases(rows, none).count() == 0
+    assert [r[0] for r in garbled_records(rows, none).collect()] == [2]
+    assert leaked_passages(rows, spark.createDataFrame([], "case_id string, source_sentence_id string, text string"), none).count() == 0
+    assert encode_documents(docs.where("false")).count() == 0
+    sizes = spark.createDataFrame([(1, 5)], "doc_id long, tokens long")
+    assert Packing(sizes, spark.createDataFrame([], "pack_name string, tokenizer string, capacity long")).items.count() == 0
+
+
+def test_clashing_columns_are_not_read(spark, reference):
+    from pyspark.sql import functions as F
+
+    from weft.llm.capping import beyond_cap
+    from weft.llm.overlap import CrossSplit
+
+    rows = clips(spark, [("The old sailor sold the paper lantern near the fish market.", "tl")] * 2)
+    for name in ("id", "who", "what", "hi", "h", "q", "letters", "band", "h1", "label", "garbled", "n", "count"):
+        rows = rows.withColumn(name, F.lit("x"))
+    rows = rows.withColumn("speaker", F.lit("a")).withColumn("emotion", F.lit(None).cast("string")).withColumn("dnsmos_overall", F.lit(None).cast("double")).withColumn("source_id", F.lit("s"))
+    assert language_cases(rows, reference).count() == 2
+    assert [r[0] for r in beyond_cap(rows, cap=1).collect()] == [2]
+    assert CrossSplit(rows).clip_pairs().count() == 0

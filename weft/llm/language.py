@@ -158,7 +158,7 @@ class Identifier:
     def identify(self, text: str) -> list[tuple[str, float, int, int]]:
         """``(language, confidence, start, end)`` of the text's stretches, largest language first."""
         tokens = self.tokens(text)
-        if not tokens:
+        if not tokens or not self.langs:
             return []
         rows = [self.cost(t[2]) for t in tokens]
         total = [sum(c) for c in zip(*rows)]
@@ -254,7 +254,8 @@ def identify_languages(clips: DataFrame, lang_reference: DataFrame, common_words
     of language within a text costs ``SWITCH`` phrases. ``garbled`` is found
     out only where ``wrong``. A leading bracketed prefix is left out. Texts
     without letters, blank and null texts have no language, no stretches and
-    are not wrong. Ties go to the language first in ``LANGS``. No shuffle.
+    are not wrong. Ties go to the language first in ``LANGS``. With an
+    empty reference no text has a language. No shuffle.
     """
     plain = reference_texts(lang_reference)
     fitted = dict(plain)

@@ -123,6 +123,8 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
     """
     rng = random.Random(seed)
     langs = sorted(reference)
+    if not langs:
+        return []
     out = []
     letters = "abcdefghijklmnopqrstuvwxyz"
 
@@ -329,7 +331,10 @@ def learn_rules(lang_reference: DataFrame, common_words: DataFrame) -> list[Rule
 
 
 def document_quality(docs: DataFrame, lang_reference: DataFrame, common_words: DataFrame) -> DataFrame:
-    """Statistics of each document and ``is_prose`` (1, 0, or null for blank text)."""
+    """Statistics of each document and ``is_prose`` (1, 0, or null for blank text).
+
+    With an empty reference there are no rules, and any text counts as prose.
+    """
     rules = learn_rules(lang_reference, common_words)
     return text_statistics(docs, common_words).withColumn("is_prose", F.expr(rules_case(rules)))
 
