@@ -163,6 +163,21 @@ def test_readers(spark, tmp_path):
     assert readers.read_reports(spark, str(tmp_path / "[rs].json")).count() == 1
 
 
+def test_tar_and_transcripts(spark, tmp_path):
+    import tarfile
+
+    with tarfile.open(tmp_path / "a.tar", "w") as tar:
+        for name, data in (("s/x1.wav", b"abc"), ("s/x2.wav", b"de"), ("s/readme.txt", b"no")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    rows = readers.tar_members(spark, str(tmp_path / "*.tar"), batch_bytes=1)
+    assert {(r["path"], bytes(r["content"])) for r in rows.collect()} == {("s/x1.wav", b"abc"), ("s/x2.wav", b"de")}
+    t = tmp_path / "t.txt"
+    t.write_text("x1.wav\tni3 hao3\t你 ni3 好 hao3\nx2.wav\tabc\nx3\n")
+    assert [tuple(r) for r in readers.join_by_stem(rows, readers.han_transcripts(spark, str(t)), "stem").select("stem", "text").collect()] == [("x1", "你好")]
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([(1, 1.0, 2)], "a int, x double, _tmp int")
     writers.publish(df, str(tmp_path / "o"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +79,37 @@ def log_values(spark: SparkSession, path: str) -> DataFrame:
     """``step, loss`` of training logs; lines without both are skipped."""
     v = F.col("value")
     return spark.read.text(path).select(F.regexp_extract(v, r"step[=: ]+(\d+)", 1).try_cast("bigint").alias("step"), F.regexp_extract(v, r"loss[=: ]+([0-9.eE+-]+)", 1).try_cast("double").alias("loss")).where("step is not null and loss is not null")
+
+
+def tar_members(spark: SparkSession, path: str, suffix: str = ".wav", batch_bytes: int = 32 << 20) -> DataFrame:
+    """``tar, path, content`` of the members of tar files, one task a file.
+
+    Members go out in batches of bounded bytes; the archive itself must fit a
+    task, as Spark reads whole binary files. Folders and other suffixes are
+    left out. Join the result to transcripts with ``join_by_stem``.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, data in zip(b["path"], b["content"]):
+                rows, size = [], 0
+                with tarfile.open(fileobj=io.BytesIO(data)) as tar:
+                    for m in tar:
+                        if not m.isfile() or not m.name.endswith(suffix):
+                            continue
+                        rows.append((name, m.name, tar.extractfile(m).read()))
+                        size += m.size
+                        if size >= batch_bytes:
+                            yield pd.DataFrame(rows, columns=["tar", "path", "content"])
+                            rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=["tar", "path", "content"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "tar string, path string, content binary")
+
+
+def han_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """``stem, text`` of tab-separated lines of a file name and interleaved scripts: the last field with Han characters, these alone."""
+    parts = spark.read.text(path).select(F.split("value", "\t").alias("p"))
+    han = F.filter(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), lambda x: x.rlike("[一-鿿]"))
+    return parts.where(F.size(han) > 0).select(F.regexp_extract(F.get("p", 0), r"([^/]+?)(?:\.[A-Za-z0-9]+)?$", 1).alias("stem"), F.regexp_replace(F.element_at(han, -1), "[^一-鿿]", "").alias("text"))
