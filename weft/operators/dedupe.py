@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -48,7 +47,3 @@ def near_text(rows: DataFrame, protected: DataFrame, min_chars: int = 40, edits:
     )
     return exact.unionByName(near.select("id", "item", "distance"))
 
-
-def interleave(df: DataFrame, group: str, order: list) -> DataFrame:
-    """Round-robin over groups: first rows of all groups, then second rows."""
-    return df.withColumn("turn", F.row_number().over(W.partitionBy(group).orderBy(*order)))

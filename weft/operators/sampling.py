@@ -7,12 +7,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weft.functions.text import hash_order
+from weft.operators.selection import running_total
 
 
-def within_budget(df: DataFrame, group: list[str], amount: Column, budget: Column, key: str, namespace: str = "budget") -> DataFrame:
-    """Rows taken in hash order while less than the budget is consumed (the last may overshoot)."""
-    w = W.partitionBy(*group).orderBy(hash_order(namespace, F.col(key)), key).rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("_before", F.coalesce(F.sum(amount).over(w), F.lit(0))).where(F.col("_before") < budget).drop("_before")
+def _order(namespace: str, key: str) -> Column:
+    """The order of ``hash_order`` as a BIGINT that uses its whole range: the first 60 bits."""
+    return (F.conv(F.substring(hash_order(namespace, F.col(key)), 1, 15), 16, 10).cast("bigint") - F.lit(1 << 59)) * 16
+
+
+def within_budget(df: DataFrame, group: list[str], amount: Column, budget: Column, key: str, namespace: str = "budget", bits: int = 10) -> DataFrame:
+    """Rows taken in hash order while less than the budget is consumed (the last may overshoot).
+
+    Sums run through ``2**bits`` hash buckets a group, so that no group is
+    ordered in one task. Null amounts count as nothing.
+    """
+    summed = running_total(df.withColumn("_o", _order(namespace, key)), group, "_o", key, F.coalesce(amount, F.lit(0.0)), bits, "_before")
+    return summed.where(F.col("_before") < budget).select(*df.columns)
+
+
+def interleave(df: DataFrame, group: str, key: str, namespace: str = "turn", bits: int = 10) -> DataFrame:
+    """Round-robin over groups by hash order: ``turn`` 1 for the first rows of all groups, then 2, bucket by bucket."""
+    ranked = running_total(df.withColumn("_o", _order(namespace, key)), [group], "_o", key, F.lit(1).cast("bigint"), bits, "_before")
+    return ranked.select(*df.columns, (F.col("_before") + 1).alias("turn"))
 
 
 def passes(df: DataFrame, k: int) -> DataFrame:

@@ -251,7 +251,7 @@ def language_shares(s, d):
 
 @query("SELECT clip_id, source_id, row_number() OVER (PARTITION BY source_id ORDER BY sha256('turn:' || clip_id), clip_id) AS turn FROM clips")
 def interleave(s, d):
-    return dedupe.interleave(table(s, d, "clips").select("clip_id", "source_id"), "source_id", [X.hash_order("turn", F.col("clip_id")), "clip_id"])
+    return sampling.interleave(table(s, d, "clips").select("clip_id", "source_id"), "source_id", "clip_id")
 
 
 @query("SELECT case_id, (row_number() OVER (ORDER BY case_id) - 1) % 4 AS shard FROM tl_short_holdout_20260918")
