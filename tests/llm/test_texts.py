@@ -11,7 +11,7 @@ from weft.llm.language import Identifier, SuffixAutomaton, label_language, langu
 from weft.llm.leakage import WuManber, leaked_passages, passages
 from weft.llm.letters import letters, words
 from weft.llm.packing import Packing, plan_containers
-from weft.llm.quality import document_quality, induce_rules
+from weft.llm.quality import document_quality, induce_rules, text_statistics
 from weft.llm.tokens import ChunkEncoder, encode_documents
 
 REF = {
@@ -189,6 +189,20 @@ def test_quality_on_held_out_kinds(spark):
     assert re.match(r"\d", str(got[8]))
 
 
+def test_statistics_count_every_symbol(spark):
+    import unicodedata
+
+    texts = ["@#$%", "a@b#c ^^ {x}=<y>", "“Oh”—he said… 5%", "你好，世界！１２", "x٣ ½ don't well-known", "\u00a0 \n", "rhythmst a1 plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = text_statistics(docs, spark.createDataFrame([], "lang string, word string")).orderBy("doc_id").collect()
+    for t, r in zip(texts, got):
+        kinds = [unicodedata.category(c)[0] for c in t]
+        assert r["symbol_share"] == pytest.approx(sum(k in "PS" for k in kinds) / len(t), abs=1e-6), t
+        assert r["digit_share"] == pytest.approx(kinds.count("N") / len(t), abs=1e-6), t
+    assert [r["words"] for r in got] == [0, 5, 4, 3, 4, 0, 3]
+    assert [r["odd_share"] for r in got][-1] == pytest.approx(2 / 3, abs=1e-6)
+
+
 def test_empty_tables(spark, reference):
     none = reference.where("false")
     docs = spark.createDataFrame([(1, "- a\n- b"), (2, None)], "doc_id long, text string")

@@ -15,14 +15,18 @@ from weft.llm.encoding import reference_texts
 MAX_COMMON, LABELLED = 20_000, 1_800
 #: Signs that end a stretch of prose or stand between items (a fixed pattern).
 BREAKS = r"[\n\r\t|;,.!?…。，；、！？：=<>{}\[\]/\\#*_~^@$%&+]+| [-–—•·]+ |   +"
-#: What stands between words: blanks and signs, but no apostrophe or hyphen (a fixed pattern).
-GAPS = r"[ \n\r\t.,;:!?…|\"()\[\]]+"
+#: What stands between words: all but letters, marks, numbers, apostrophes and hyphens (a fixed pattern).
+GAPS = r"[^a-z\p{L}\p{M}\p{N}'’-]+"
+#: Punctuation, symbols and whatever else is no letter, mark, number or blank (a fixed pattern).
+SYMBOLS = r"[^a-zA-Z \p{L}\p{M}\p{N}\s\p{Z}]+"
+#: Words with letters beside numbers, or five Latin consonants in a row (a fixed pattern).
+ODD = r"\p{L}\p{N}|\p{N}\p{L}|[bcdfghjklmnpqrstvwxz]{5}"
 #: A line end that only wraps a long line (a fixed pattern).
 WRAP = r"\r?\n(?<=[^\n]{36}\n)(?<![.!?…。！？；;:：]\r?\n)(?=[\p{L}\p{N}“\"'])"
 #: Characters that end a line of prose (fixed values).
 ENDS = tuple(".!?…。！？；;:：”»\"")
 #: Statistics the rules may test.
-FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "end_punct_share", "mean_run", "single_share")
+FEATURES = ("run30", "run45", "run60", "distinct_grams", "distinct_lines", "common_share", "digit_share", "symbol_share", "odd_share", "end_punct_share", "mean_run", "single_share")
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -42,8 +46,8 @@ def _once(df: DataFrame, keep: list[str], *made: Column) -> DataFrame:
 def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of statistics a document, from built-in expressions alone.
 
-    Characters, words, lines, mean word length, shares of digits, symbols,
-    common words, lines ending in punctuation and distinct lines and word
+    Characters, words, lines, mean word length, shares of digits (any numbers),
+    symbols (also those inside words), odd words, common words, lines ending in punctuation and distinct lines and word
     trigrams (in windows of 256 words), and the share of text in unbroken runs of at least 30, 45 and 60
     characters (a Han character weighs four). Unspaced scripts are cut into
     blocks of four characters as words. Null text gives null statistics, empty
@@ -65,8 +69,8 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         ["doc_id"],
         F.length(t).alias("chars"),
         dense_hits.alias("_dense"),
-        F.length(F.translate(t, "0123456789", "")).alias("_undigits"),
-        F.length(F.translate(t, " \n\r\t\u00a0\u3000", "")).alias("_solid"),
+        F.length(F.regexp_replace(t, r"\p{N}+", "")).alias("_undigits"),
+        F.length(F.regexp_replace(t, SYMBOLS, "")).alias("_plain"),
         F.filter(F.split(F.regexp_replace(F.lower(t), r"([฀-๿]{4}|[一-鿿]{2})", "$1 "), GAPS), lambda w: F.length(w) > 0).alias("_w"),
         F.filter(
             F.transform(F.split(F.regexp_replace(F.regexp_replace(t, r"([一-鿿])", "$1$1$1$1"), WRAP, " "), BREAKS), lambda s: F.length(F.trim(s))),
@@ -76,7 +80,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     )
     parts = _once(
         parts,
-        ["doc_id", "chars", "_dense", "_undigits", "_solid", "_w", "_l", "_r"],
+        ["doc_id", "chars", "_dense", "_undigits", "_plain", "_w", "_l", "_r"],
         F.size("_w").alias("words"),
         F.size("_l").alias("lines"),
         F.aggregate("_r", F.lit(0), lambda a, x: a + x).alias("_total"),
@@ -92,6 +96,7 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
             )
         ).alias("_grams"),
         (F.size(F.filter("_w", lambda w: w.isin(spaced))) if spaced else F.lit(0)).alias("_common"),
+        F.size(F.filter("_w", lambda w: w.rlike(ODD))).alias("_odd"),
         F.size(F.array_distinct("_l")).alias("_lines"),
         F.size(F.filter("_l", lambda s: F.substring(s, -1, 1).isin(*ENDS))).alias("_ended"),
         F.size(F.filter("_l", lambda s: F.length(s) < 25)).alias("_short"),
@@ -102,11 +107,12 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
         ["doc_id", "chars", "words", "lines"],
         _ratio(F.col("_word_chars"), words_).alias("mean_word"),
         _ratio(chars - F.col("_undigits"), chars).alias("digit_share"),
-        _ratio(F.col("_solid") - F.col("_word_chars"), chars).alias("symbol_share"),
+        _ratio(chars - F.col("_plain"), chars).alias("symbol_share"),
         _ratio(F.col("_common") + F.lit(2) * F.col("_dense"), words_).alias("common_share"),
         _ratio(F.col("_ended"), lines).alias("end_punct_share"),
         _ratio(F.col("_lines"), lines).alias("distinct_lines"),
         _ratio(F.col("_grams"), F.greatest(words_ - 2, F.lit(1))).alias("distinct_grams"),
+        _ratio(F.col("_odd"), words_).alias("odd_share"),
         _ratio(F.col("_short"), lines).alias("single_share"),
         *[_ratio(F.col(f"_run{k}"), total).alias(f"run{k}") for k in (30, 45, 60)],
         _ratio(total, F.size("_r")).alias("mean_run"),
