@@ -113,6 +113,18 @@ def test_paired_and_sign(spark):
     assert reports.sign_p(5, 5) == 1 / 32 and reports.sign_p(0, 0) == 1.0
 
 
+def test_every_report_and_seed_is_paired(spark):
+    rows = [(f"r{i}", f"c{c}", seed, "tl", f"t{c}", "h", 0.1 * i + 0.01 * seed * (i > 0) + 0.001 * c, 1.0, None) for i in range(4) for c in range(3) for seed in (1, 2, 3)]
+    schema = "report_id string, case_id string, seed int, lang string, text string, hyp string, cer double, audio_sec double, scored_at timestamp"
+    pairs = reports.paired_reports(spark.createDataFrame(rows, schema), "cer")
+    got = {(r["report_id"], r["case_id"], r["seed"]): r["delta"] for r in pairs.collect()}
+    assert got == {(f"r{i}", f"c{c}", seed): round(0.1 * i + 0.01 * seed, 12) for i in (1, 2, 3) for c in range(3) for seed in (1, 2, 3)}
+    means = {r["report_id"]: (r["cases"], r["mean_delta"], r["worse"]) for r in reports.case_equal_mean(pairs, ["report_id", "lang"]).collect()}
+    assert means == {f"r{i}": (3, round(0.1 * i + 0.02, 6), 3) for i in (1, 2, 3)}
+    ci = reports.hash_bootstrap(pairs.groupBy("report_id", "lang", "case_id").agg(F.avg("delta").alias("d")), ["report_id", "lang"], "d", 20)
+    assert {r["report_id"]: (r["cases"], r["low"], r["high"]) for r in ci.collect()} == {f"r{i}": (3, round(0.1 * i + 0.02, 6), round(0.1 * i + 0.02, 6)) for i in (1, 2, 3)}
+
+
 def wav(x, rate=16000):
     f = io.BytesIO()
     with wave.open(f, "wb") as w:

@@ -49,13 +49,25 @@ def unique_items(items: DataFrame) -> DataFrame:
     return best.select(*keys, "_b.*")
 
 
-def paired(candidate: DataFrame, base: DataFrame, name: str) -> DataFrame:
-    """Inner pairs on case and seed where both have the metric; conditions must agree."""
-    a = candidate.select("case_id", "seed", "lang", "text", metric(name).alias("a"))
+def paired(candidate: DataFrame, base: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Inner pairs on case and seed where both have the metric; conditions must agree.
+
+    ``keep`` names further columns of the candidate, such as its report.
+    """
+    a = candidate.select(*keep, "case_id", "seed", "lang", "text", metric(name).alias("a"))
     b = base.select("case_id", "seed", F.col("text").alias("text_b"), metric(name).alias("b"))
     return a.join(b, ["case_id", "seed"]).where("a is not null and b is not null and text <=> text_b").withColumn("delta", F.round(F.col("a") - F.col("b"), 12))
 
 
+def paired_reports(items: DataFrame, name: str) -> DataFrame:
+    """Every report against the one of smallest id, on case and seed; ``report_id`` is the candidate's."""
+    cols = ["report_id", "case_id", "seed", "lang", "text", "hyp", name, "audio_sec", "scored_at"]
+    u = unique_items(items.select(*[c for c in cols if c in items.columns]))
+    first = F.broadcast(items.agg(F.min("report_id").alias("_first")))  # one row
+    u = u.join(first)
+    return paired(u.where("report_id > _first"), u.where("report_id = _first"), name, ("report_id",))
+
+
 def case_equal_mean(pairs: DataFrame, by: list[str]) -> DataFrame:
     """Mean over cases of the mean over seeds, with sign counts."""
     per = pairs.groupBy(*by, "case_id").agg(F.avg("delta").alias("d"))
@@ -73,19 +85,20 @@ def seed_stability(items: DataFrame) -> DataFrame:
     return per.groupBy("report_id").agg(F.count("*").alias("cases"), F.round(F.avg("s"), 6).alias("mean_std"), F.round(F.avg("r"), 6).alias("mean_range"))
 
 
-def hash_bootstrap(values: DataFrame, group: str, value: str, rounds: int = 200, seed: int = 7) -> DataFrame:
+def hash_bootstrap(values: DataFrame, group: str | list[str], value: str, rounds: int = 200, seed: int = 7) -> DataFrame:
     """Percentile interval of a group's mean, resampling by hash instead of a generator.
 
     Draw ``i`` of round ``b`` takes the value of rank ``hash(seed, b, i) mod n``,
     so any engine gives the same interval. ``values`` has one row a case.
     """
-    arrays = values.groupBy(group).agg(F.transform(F.sort_array(F.collect_list(F.struct("case_id", value))), lambda x: x[value]).alias("v"))
+    group = [group] if isinstance(group, str) else group
+    arrays = values.groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("case_id", value))), lambda x: x[value]).alias("v"))
     draws = arrays.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
     n = F.size("v")
     picks = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("v", (hash_integer(F.lit(seed), F.col("b"), i) % n).cast("int")))
     means = draws.withColumn("m", F.aggregate(picks, F.lit(0.0), lambda s, x: s + x) / n)
-    q = means.groupBy(group).agg(F.percentile("m", F.array(F.lit(0.025), F.lit(0.975))).alias("q"), F.max(n).alias("cases"))
-    return q.select(group, "cases", F.round(F.col("q")[0], 6).alias("low"), F.round(F.col("q")[1], 6).alias("high"))
+    q = means.groupBy(*group).agg(F.percentile("m", F.array(F.lit(0.025), F.lit(0.975))).alias("q"), F.max(n).alias("cases"))
+    return q.select(*group, "cases", F.round(F.col("q")[0], 6).alias("low"), F.round(F.col("q")[1], 6).alias("high"))
 
 
 def keep_best(items: DataFrame) -> DataFrame:

@@ -396,6 +396,35 @@ def bootstrap_ci(s, d):
     return reports.hash_bootstrap(per, "lang", "d")
 
 
+ALL_PAIRS = f"""WITH {UNIQ}, p AS (SELECT x.report_id, x.case_id, x.seed, x.lang, round(x.cer - y.cer, 12) AS delta FROM u x JOIN u y ON x.case_id = y.case_id AND x.seed = y.seed
+ WHERE y.report_id = (SELECT min(report_id) FROM report_items) AND x.report_id > y.report_id AND x.cer IS NOT NULL AND y.cer IS NOT NULL AND NOT isnan(x.cer) AND NOT isnan(y.cer) AND x.text IS NOT DISTINCT FROM y.text)
+"""
+
+
+@query(ALL_PAIRS + "SELECT report_id, case_id, seed, lang, round(delta, 6) AS delta FROM p")
+def paired_delta_reports(s, d):
+    return reports.paired_reports(table(s, d, "report_items"), "cer").select("report_id", "case_id", "seed", "lang", F.round("delta", 6).alias("delta"))
+
+
+@query(ALL_PAIRS + ", c AS (SELECT report_id, lang, case_id, avg(delta) AS d FROM p GROUP BY 1, 2, 3) SELECT report_id, lang, count(*) AS cases, round(avg(d), 6) AS mean_delta, count(*) FILTER (round(d, 12) < 0) AS better, count(*) FILTER (round(d, 12) > 0) AS worse FROM c GROUP BY 1, 2")
+def case_equal_mean_reports(s, d):
+    return reports.case_equal_mean(reports.paired_reports(table(s, d, "report_items"), "cer"), ["report_id", "lang"])
+
+
+@query(ALL_PAIRS + "SELECT report_id, lang, count(*) FILTER (delta > 0.05) AS redline, count(*) FILTER (delta > 0 AND delta <= 0.05) AS noise FROM p GROUP BY 1, 2")
+def gates_redline_reports(s, d):
+    p = reports.paired_reports(table(s, d, "report_items"), "cer")
+    return p.groupBy("report_id", "lang").agg(F.count_if(F.col("delta") > 0.05).alias("redline"), F.count_if((F.col("delta") > 0) & (F.col("delta") <= 0.05)).alias("noise"))
+
+
+@query(ALL_PAIRS + """, c AS (SELECT report_id, lang, case_id, avg(delta) AS d FROM p GROUP BY 1, 2, 3), v AS (SELECT report_id, lang, list(d ORDER BY case_id) AS v FROM c GROUP BY 1, 2),
+m AS (SELECT report_id, lang, len(v) AS n, list_sum([v[('0x' || substr(sha256('7:' || b || ':' || i), 1, 8))::BIGINT % len(v) + 1] for i in range(0, len(v))]) / len(v) AS m FROM v, range(0, 200) AS r(b))
+SELECT report_id, lang, max(n) AS cases, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM m GROUP BY 1, 2""")
+def bootstrap_ci_reports(s, d):
+    per = reports.paired_reports(table(s, d, "report_items"), "cer").groupBy("report_id", "lang", "case_id").agg(F.avg("delta").alias("d"))
+    return reports.hash_bootstrap(per, ["report_id", "lang"], "d")
+
+
 @query(f"""WITH k AS (SELECT report_id, case_id, min((length(trim(coalesce(hyp, ''))) = 0, coalesce(over_read, false), coalesce({NN('cer')}, 1e9), seed)) AS k FROM report_items GROUP BY 1, 2)
 SELECT report_id, case_id, k[4] AS seed, CASE WHEN k[3] < 1e9 THEN round(k[3], 6) END AS cer FROM k""")
 def keep_best(s, d):
