@@ -125,6 +125,23 @@ def test_every_report_and_seed_is_paired(spark):
     assert {r["report_id"]: (r["cases"], r["low"], r["high"]) for r in ci.collect()} == {f"r{i}": (3, round(0.1 * i + 0.02, 6), round(0.1 * i + 0.02, 6)) for i in (1, 2, 3)}
 
 
+def test_character_errors_of_all_scripts(spark, tmp_path):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    texts = ["", "plain text", "plain texts", "“niño” — café", "niño cafe", "สวัสดีครับ", "สวัสดิครบ", "你好，世界", "你们好世界！", "Tiếng Việt", "Tieng Viet", "a😀b", "ab😀😀"]
+    pairs = [(a, b) for a in texts for b in texts]
+    rows = [("r", str(i), 1, a, b) for i, (a, b) in enumerate(pairs)] + [("r", "x", 1, None, "a"), ("r", "y", 1, "a", None)]
+    spark.createDataFrame(rows, "report_id string, case_id string, seed long, hyp string, text string").write.parquet(str(tmp_path / "report_items.parquet"))
+    got = {r["case_id"]: r["char_errors"] for r in Q.QUERIES["char_errors_all"](spark, str(tmp_path)).collect()}
+    assert got == {str(i): pytest.approx(distance(a, b) / max(1, len(b)), abs=1e-6) for i, (a, b) in enumerate(pairs)}
+
+
 def wav(x, rate=16000):
     f = io.BytesIO()
     with wave.open(f, "wb") as w:

@@ -492,6 +492,12 @@ def char_errors(s, d):
     return r.select("report_id", "case_id", "seed", F.round(X.character_error_rate(F.col("hyp"), F.col("text")), 6).alias("char_errors"))
 
 
+@query()
+def char_errors_all(s, d):
+    r = table(s, d, "report_items").where("hyp is not null and text is not null")
+    return r.select("report_id", "case_id", "seed", F.round(X.character_error_rate(F.col("hyp"), F.col("text")), 6).alias("char_errors"))
+
+
 @query()
 def speaker_clusters(s, d):
     return sequential.leader_clusters(table(s, d, "embeddings"), "label", "vec_id", "embedding")
