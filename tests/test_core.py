@@ -142,6 +142,15 @@ def test_character_errors_of_all_scripts(spark, tmp_path):
     assert got == {str(i): pytest.approx(distance(a, b) / max(1, len(b)), abs=1e-6) for i, (a, b) in enumerate(pairs)}
 
 
+def test_every_case_has_its_position(spark, tmp_path):
+    ids = [str(i) for i in range(150, 0, -1)] + [f"x{i:03d}" for i in range(120)]
+    rows = [("r", c, seed, None, "h") for c in ids for seed in (2, 1)]
+    spark.createDataFrame(rows, "report_id string, case_id string, seed long, scored_at timestamp, hyp string").repartition(7).write.parquet(str(tmp_path / "report_items.parquet"))
+    got = Q.QUERIES["case_positions"](spark, str(tmp_path)).collect()
+    want = sorted(((c, s) for _, c, s, _, _ in rows), key=lambda k: (not k[0].isdigit(), int(k[0]) if k[0].isdigit() else 0, k))
+    assert sorted((r["position"], r["case_id"], r["seed"]) for r in got) == [(i, *k) for i, k in enumerate(want, 1)]
+
+
 def wav(x, rate=16000):
     f = io.BytesIO()
     with wave.open(f, "wb") as w:

@@ -99,3 +99,18 @@ def running_total(df: DataFrame, group: list[str], hash_col: str, tie: str, valu
     inner = W.partitionBy(*group, "_b").orderBy(hash_col, tie).rowsBetween(W.unboundedPreceding, -1)
     joined = df.join(base, [*group, "_b"])
     return joined.withColumn(out, F.col("_base") + F.coalesce(F.sum("_v").over(inner), F.expr("0"))).drop("_b", "_v", "_base")
+
+
+def ordered_positions(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """Every row with its place, from 1, in the whole order.
+
+    Rows are range-partitioned and sorted; only one row count a partition is
+    summed up in one task. Rows equal in ``order`` follow each other in any order.
+    """
+    # the number of a row is its partition above bit 33 and its place within
+    rows = materialise(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "positions")
+    rows = rows.withColumn("_p", F.shiftright("_id", 33))
+    before = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    base = rows.groupBy("_p").agg(F.count("*").alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(base), "_p").withColumn(out, F.col("_base") + within + 1).drop("_id", "_p", "_base")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import text as X
 from weft.functions.keys import identity_key
-from weft.operators import dedupe, graph, identity, reports, rules, sampling, sequential
+from weft.operators import dedupe, graph, identity, reports, rules, sampling, selection, sequential
 from weft.session import table
 from weft.streaming import metrics
 
@@ -543,6 +543,16 @@ def case_order(s, d):
     return r.orderBy(F.desc("digits"), F.asc_nulls_last(F.col("case_id").try_cast("bigint")), "case_id", "seed", "report_id", "scored_at", F.asc_nulls_last("hyp")).limit(100).select("report_id", "case_id", "seed")
 
 
+@query("""SELECT report_id, case_id, seed, row_number() OVER (ORDER BY CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN case_id END AS BIGINT) NULLS LAST,
+ case_id NULLS FIRST, seed NULLS FIRST, report_id NULLS FIRST, scored_at NULLS FIRST, hyp NULLS LAST) AS position FROM report_items""")
+def case_positions(s, d):
+    digits = F.coalesce(F.col("case_id").rlike(r"^[0-9]+\z"), F.lit(False))
+    number = F.when(digits, F.col("case_id").try_cast("bigint"))
+    order = [digits.desc(), number.asc_nulls_last(), F.asc("case_id"), F.asc("seed"), F.asc("report_id"), F.asc("scored_at"), F.asc_nulls_last("hyp")]
+    r = table(s, d, "report_items").select("report_id", "case_id", "seed", "scored_at", "hyp")
+    return selection.ordered_positions(r, order).select("report_id", "case_id", "seed", "position")
+
+
 @query("""WITH a AS (SELECT DISTINCT case_id FROM report_items WHERE seed = (SELECT min(seed) FROM report_items)), b AS (SELECT DISTINCT case_id FROM report_items WHERE seed = (SELECT max(seed) FROM report_items))
 SELECT 'both' AS part, count(*) AS cases FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'first_only', count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'last_only', count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def case_sets(s, d):
