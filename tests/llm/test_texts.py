@@ -189,6 +189,26 @@ def test_quality_on_held_out_kinds(spark):
     assert re.match(r"\d", str(got[8]))
 
 
+def test_every_chain_of_readings_is_followed():
+    class Table(Repairer):
+        """Readings and lengths from a table instead of codecs."""
+
+        steps = {"é": ["b", "c", "d", "longer"], "d": ["best of third"], "longer": ["right"]}
+        sizes = {"é": 200, "b": 100, "c": 110, "d": 120, "longer": 300, "best of third": 60, "right": 40}
+        suspicious = staticmethod(lambda t: True)
+        _multi = _legacy = staticmethod(lambda t: iter(()))
+
+        def _single(self, t):
+            return iter(self.steps.get(t, ()))
+
+        def length(self, t):
+            return self.sizes[t]
+
+    assert Table(REF).repair("é") == (True, "right")  # gains only at the second step
+    Table.sizes = {**Table.sizes, "right": 400}
+    assert Table(REF).repair("é") == (True, "best of third")  # by a first step that ranks third
+
+
 def test_statistics_count_every_symbol(spark):
     import unicodedata
 

@@ -61,7 +61,9 @@ class Repairer:
     of the per-language dictionaries (the reference text of the language), plus
     ``UNSEEN_BITS`` and ``AGAIN_BITS`` an occurrence for each character that neither the reference of
     that language nor ``COMMON`` has, plus ``STEP_BITS`` for each re-decoding
-    in its chain. The text stays unchanged unless a candidate is shorter.
+    in its chain. All distinct readings up to ``MAX_STEPS`` are followed, also
+    through readings that are longer themselves. The text stays unchanged
+    unless a candidate is shorter.
     """
 
     def __init__(self, reference: dict[str, str]):
@@ -177,22 +179,19 @@ class Repairer:
         if not self.suspicious(text):
             return False, text
         base = best = self.length(text)
-        chosen, front, seen = text, [(base, text)], {text}
+        chosen, front, seen = text, [text], {text}
         for step in range(1, MAX_STEPS + 1):
             nxt = []
-            for was, s in front:
+            for s in front:
                 for new in (*self._single(s), *self._multi(s), *self._legacy(s)):
                     if new in seen:
                         continue
                     seen.add(new)
-                    cost = self.length(new)
-                    if cost + STEP_BITS < was:  # a chain goes on only from a reading that is better than the one before
-                        nxt.append((cost, new))
-                        if cost + STEP_BITS * step < best:
-                            best, chosen = cost + STEP_BITS * step, new
-            front = sorted(nxt)[:2]
-            if not front:
-                break
+                    nxt.append(new)
+                    cost = self.length(new) + STEP_BITS * step
+                    if cost < best:
+                        best, chosen = cost, new
+            front = nxt
         return best < base or self.broken.search(text) is not None, chosen
 
 
