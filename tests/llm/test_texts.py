@@ -223,6 +223,17 @@ def test_statistics_count_every_symbol(spark):
     assert [r["odd_share"] for r in got][-1] == pytest.approx(2 / 3, abs=1e-6)
 
 
+def test_too_many_common_words_are_an_error(spark, reference):
+    from pyspark.sql import functions as F
+
+    many = spark.range(20_001).select(F.lit("en").alias("lang"), F.concat(F.lit("w"), F.col("id")).alias("word"))
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="20000"):
+        text_statistics(docs, many)
+    with pytest.raises(ValueError, match="20000"):
+        language_cases(clips(spark, [("hello there my friend", "en")]), reference, many)
+
+
 def test_empty_tables(spark, reference):
     none = reference.where("false")
     docs = spark.createDataFrame([(1, "- a\n- b"), (2, None)], "doc_id long, text string")

@@ -223,6 +223,14 @@ def reference_texts(lang_reference: DataFrame) -> dict[str, str]:
     return {k: "\n".join(v) for k, v in out.items()}
 
 
+def common_word_rows(common_words: DataFrame, most: int = MAX_REFERENCE) -> list[tuple[str | None, str]]:
+    """``lang, word`` of each common word in a fixed order, on the driver; the table is bounded."""
+    rows = common_words.where("word is not null").select("lang", "word").distinct().orderBy("lang", "word").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the common words may have {most} rows at most")
+    return [(r["lang"], r["word"]) for r in rows]
+
+
 def restore_text(clips: DataFrame, lang_reference: DataFrame, id_col: str = "clip_id", text_col: str = "text") -> DataFrame:
     """``clip_id, garbled, text``: every record with its best reading.
 

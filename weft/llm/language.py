@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weft.llm.encoding import reference_texts, repairer
+from weft.llm.encoding import common_word_rows, reference_texts, repairer
 
 LANGS = ("en", "id", "th", "tl", "vi", "zh")
 #: Spellings of the six languages: codes and names (fixed values).
@@ -260,8 +260,8 @@ def identify_languages(clips: DataFrame, lang_reference: DataFrame, common_words
     plain = reference_texts(lang_reference)
     fitted = dict(plain)
     if common_words is not None:
-        for r in common_words.where("lang is not null and word is not null").limit(20_000).collect():
-            fitted[r["lang"]] = fitted.get(r["lang"], "") + "\n" + r["word"]
+        for lang, word in common_word_rows(common_words.where("lang is not null")):
+            fitted[lang] = fitted.get(lang, "") + "\n" + word
     for lang, text in stock_phrases(clips).items():
         fitted[lang] = fitted.get(lang, "") + "\n" + text
     item = pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.encoding import reference_texts
+from weft.llm.encoding import common_word_rows, reference_texts
 
 #: Bounds of what the driver may hold: common words, and labelled documents to learn from.
 MAX_COMMON, LABELLED = 20_000, 1_800
@@ -53,7 +53,8 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     blocks of four characters as words. Null text gives null statistics, empty
     and blank text zeros. Whole texts are read and nothing is shuffled.
     """
-    words = sorted({unicodedata.normalize(form, r[0].lower()) for form in ("NFC", "NFD") for r in common_words.where("word is not null").select("word").distinct().limit(MAX_COMMON).collect()})
+    listed = common_word_rows(common_words, MAX_COMMON)
+    words = sorted({unicodedata.normalize(form, w.lower()) for form in ("NFC", "NFD") for _, w in listed})
     spaced = [w for w in words if w.isascii() or not any("฀" <= c <= "๿" or "一" <= c <= "鿿" for c in w)]
     dense = [w for w in words if w not in set(spaced)]
     t = F.col("_t")
