@@ -6,7 +6,7 @@ import pytest
 
 from weft.llm.capping import beyond_cap
 from weft.llm.mixing import Mix, usable_clips
-from weft.llm.overlap import CrossSplit, most_edits, segment_join
+from weft.llm.overlap import CrossSplit, kinds, most_edits, segment_join
 from weft.llm.splits import related_groups, solve_bundles, split_components, split_report
 
 CLIP = "clip_id long, audio string, text string, source_id string, speaker string, speaker_verified boolean, session string, emotion string, duration double, dnsmos_overall double, split string, ingested_at timestamp"
@@ -122,3 +122,53 @@ def test_cross_split_pairs(spark):
 @pytest.mark.parametrize("n", [20, 50, 137, 400])
 def test_most_edits_covers_every_partner(n):
     assert all(max(n, m) // 10 <= most_edits(n) for m in range(n, 2 * n) if (m - n) * 10 <= m)
+
+
+def _within(a: str, b: str) -> bool:
+    """Whether the edits are few enough, by plain dynamic programming along the diagonal."""
+    k = max(len(a), len(b)) // 10
+    row = {j: j for j in range(min(k, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - k), min(len(b), i + k) + 1):
+            new[j] = min(row.get(j, k + 1) + 1, new.get(j - 1, k + 1) + 1, row.get(j - 1, k + 1) + (x != b[j - 1])) if j else i
+        row = new
+    return row.get(len(b), k + 1) <= k
+
+
+@pytest.mark.parametrize("size", [20, 21, 37, 64, 110, 240, 430])
+def test_segment_join_keeps_pairs_at_the_limit(size):
+    """Edits spread evenly, in clumps and at random, up to the last one allowed and one beyond."""
+    rng = random.Random(size)
+    held, train = [], []
+    for _ in range(4):
+        base = "".join(rng.choice("abcde") for _ in range(size))
+        held.append(base)
+        for how in range(5):
+            for k in (most_edits(size), size // 10, size // 10 + 1):
+                text = list(base)
+                every = [size * (i + 1) // (k + 1) for i in range(k)]
+                spots = [every, list(range(k)), list(range(size - k, size)), rng.sample(range(size), k), [min(size - 1, i // 2 * size // (k // 2 + 1) + i % 2) for i in range(k)]][how]
+                for i in sorted(set(spots), reverse=True):
+                    kind = rng.randrange(3)
+                    text[i : i + 1] = [[], ["x"], [text[i], "y"]][kind]
+                train.append("".join(text))
+    train = [t for t in train if len(t) >= 20]
+    wanted = {(i, j) for i, a in enumerate(held) for j, b in enumerate(train) if _within(a, b)}
+    assert len(wanted) > 10
+    assert {(i, j) for i, j, _ in segment_join(held, train)} == wanted
+
+
+def test_near_texts_are_in_a_kind_the_other_may_have():
+    rng = random.Random(5)
+    pools = ["กขคงจฉชซ", "的一是不了人我在", "ăâđêôơưạảấ", "abcdefgh"]
+    for _ in range(300):
+        a, b = rng.sample(pools, 2)
+        n = rng.randint(20, 90)
+        share = rng.random()
+        text = [rng.choice(a if rng.random() < share else b) for _ in range(n)]
+        other = list(text)
+        for i in rng.sample(range(n), most_edits(n)):
+            other[i] = rng.choice(a)
+        if _within("".join(text), "".join(other)):
+            assert kinds(["".join(text)])[1][0] >> kinds(["".join(other)])[0][0] & 1

@@ -14,9 +14,13 @@ from weft.llm.letters import letters
 from weft.session import materialise
 
 MIN_LETTERS, PERCENT = 20, 10
-#: Ratio of the lengths in a band, and letters in a block of a band.
-BAND, BLOCK_LETTERS = 1.15, 2_500_000
-MAX_PAIRS = 150_000
+#: Ratio of the lengths in a band, letters in a block of a band and in a piece of a block, and candidates handled together.
+BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.15, 6_000_000, 250_000
+MAX_PAIRS = 60_000
+#: Rows of a key beyond which those with a fitting place are searched for.
+MANY = 12
+#: Keeps places above zero; no text is longer.
+PLACE = 1 << 30
 
 
 def allowed(longer: np.ndarray | int):
@@ -35,7 +39,7 @@ def most_edits(n: int) -> int:
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) for t in texts], out=ends[1:])
-    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64), ends
+    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), ends
 
 
 def _rolling(codes: np.ndarray, s: int) -> np.ndarray:
@@ -115,102 +119,243 @@ def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray
     return out
 
 
+def _runs(codes: np.ndarray, w: int, n: int) -> np.ndarray:
+    """32-bit hashes of all runs of ``w`` letters, with ``n`` entries."""
+    h = np.zeros(n, dtype=np.uint32)
+    m = max(0, len(codes) - w + 1)
+    for j in range(w):
+        h[:m] *= np.uint32(0x01000193)
+        h[:m] += codes[j : j + m]
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x2C1B3C6D)
+    return h
+
+
+def _join(a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
+    h = a * np.uint32(0x9E3779B1 + 2 * kind)
+    h += b
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    return h
+
+
+class _Present:
+    """Whether a hash may be among the given ones: one bit for each value of its leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        width = max(16, min(27, (8 * len(keys)).bit_length()))
+        self.shift = np.uint32(32 - width)
+        flags = np.zeros(1 << width, dtype=bool)
+        flags[keys >> self.shift] = True
+        self.bits = np.packbits(flags, bitorder="little")
+
+    def where(self, keys: np.ndarray) -> np.ndarray:
+        h = keys >> self.shift
+        word = self.bits[h >> np.uint32(3)]
+        h &= np.uint32(7)
+        word >>= h.astype(np.uint8)
+        word &= np.uint8(1)
+        return np.flatnonzero(word)
+
+
+class _Rows:
+    """Evaluation rows by key and place, found through a directory of the keys' leading bits."""
+
+    def __init__(self, keys: np.ndarray, place: np.ndarray, length: np.ndarray, eid: np.ndarray):
+        order = np.argsort((keys.astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
+        keys, self.eid = keys[order], eid[order]
+        self.length = length[self.eid]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        self.keys, self.start = keys[new], np.r_[new, len(keys)]
+        width = max(8, min(22, (2 * len(new)).bit_length()))
+        self.shift = np.uint32(32 - width)
+        self.dir = np.searchsorted(self.keys, np.arange(1 << width, dtype=np.uint32) << self.shift).astype(np.int32)
+        self.place = (np.repeat(np.arange(len(new)), np.diff(self.start)) << 32) | place[order]  # ascending
+        self.present = _Present(self.keys)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``keys`` are there, and the number of the distinct key of each."""
+        pos = self.present.where(keys)
+        keys = keys[pos]
+        at, last = self.dir[keys >> self.shift], len(self.keys) - 1
+        np.minimum(at, last, out=at)
+        low = np.flatnonzero(self.keys[at] < keys)
+        while len(low):
+            at[low] += 1
+            low = low[at[low] <= last]
+            low = low[self.keys[at[low]] < keys[low]]
+        np.minimum(at, last, out=at)
+        ok = np.flatnonzero(self.keys[at] == keys)
+        return pos[ok], at[ok]
+
+    def rows_of(self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows with these keys, at least all with a place from ``lo`` to ``hi``, and the number of the query; in pieces."""
+        first, n = self.start[at], self.start[at + 1]
+        n -= first
+        many = np.flatnonzero(n > MANY)
+        if len(many):
+            base = at[many].astype(np.int64) << 32
+            first[many] = np.searchsorted(self.place, base + lo[many])
+            n[many] = np.searchsorted(self.place, base + hi[many], side="right") - first[many]
+        total = np.r_[0, np.cumsum(n)]
+        start = 0
+        while start < len(n):
+            stop = max(start + 1, int(np.searchsorted(total, total[start] + MAX_PAIRS, side="right")) - 1)
+            m = n[start:stop]
+            row = np.repeat(first[start:stop] - (total[start:stop] - total[start]), m)
+            row += np.arange(len(row))
+            yield row, np.repeat(np.arange(start, stop, dtype=np.int32), m)
+            start = stop
+
+
+def _segment(n: int) -> int:
+    """Length of the segments of a text of ``n`` letters: never less for a longer text."""
+    return min(m // (most_edits(m) + 3) for m in range(n, n + 90)) if n < 1_000 else n // (most_edits(n) + 3)
+
+
+class SegmentIndex:
+    """Keys of evaluation texts, to be met by the substrings of training texts.
+
+    An evaluation text with at most ``k`` edits to any other is cut into
+    ``k + 3`` segments of ``s`` letters. Let a run be three segments in a row of
+    which the first is unchanged, the first two have at most one edit and all
+    three at most two. A run exists: go through the segments from the left and
+    skip, where no run starts, as many as show it (one with an edit; two with
+    two edits; three with three). Each skip passes at least as many edits as
+    segments, and the last two segments left over can be unchanged, so without a
+    run there are at least ``k + 1`` edits. It also follows that at least ``j``
+    edits lie before the run that starts with segment ``j``.
+
+    Of the halves (near, far) of the second segment one is unchanged, and of
+    the third one too if the second has an edit. So a run shows one of five
+    keys, each of 12 to 16 letters over up to 24: the first segment with the
+    whole second; or with the near or far half of the second and the near or
+    far half of the third, where a half behind an edit may stand a letter or two
+    off. Of the distances by which the run is off its place as counted from the
+    start and from the end, the sum is at most the edits allowed, so rows of a key are
+    kept in the order of both places' sum. Training texts look up the first
+    segment and shorter keys before the whole ones.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.codes, self.ends = _codes(texts)
+        self.length = np.diff(self.ends).astype(np.int32)
+        sizes = {n: (most_edits(n), _segment(n)) for n in np.unique(self.length).tolist()}
+        self.edits = np.array([sizes[n][0] for n in self.length.tolist()], dtype=np.int32)
+        size = np.array([sizes[n][1] for n in self.length.tolist()])
+        self.words = 1 << min(9, max(3, (int(self.length.max()) // 8).bit_length()))  # 8 to 16 bits a letter of the longest text
+        self.sketch = _sketch(self.codes.astype(np.uint64), self.ends, 4, self.words)
+        self.parts = []
+        for s in np.unique(size).tolist():
+            own = np.flatnonzero(size == s)
+            per = self.edits[own] + 1  # the last two segments start no run
+            eid = np.repeat(own, per)
+            seg = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+            x, n = self.ends[eid] + seg * s, s // 2
+            near, far = (_runs(self.codes, w, len(self.codes) + 4 * s) for w in (n, s - n))
+            place = 2 * seg * s - self.length[eid] + PLACE
+            first = _join(near[x], far[x + n], 0)
+            steps = [_join(first, near[x + s], 1), _join(first, far[x + s + n], 2)]
+            keys = [_join(m, h, 4) for m in steps for h in (near[x + 2 * s], far[x + 2 * s + n])]
+            tables = [_Rows(k, place, self.length, eid) for k in keys]
+            whole = _join(steps[0], far[x + s + n], 3)
+            steps.append(whole)
+            last = seg == self.edits[eid]  # no fourth segment
+            tables.append(_Rows(whole[last], place[last], self.length, eid[last]))
+            x, whole, place, eid = x[~last], whole[~last], place[~last], eid[~last]
+            tables += [_Rows(_join(whole, h, 5), place, self.length, eid) for h in (near[x + 3 * s], far[x + 3 * s + n])]
+            self.parts.append((s, _Present(first), [_Present(m) for m in steps], tables))
+
+    def candidates(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Sorted distinct ``eval index * training texts + training index`` of the pairs that share a key and pass the filters."""
+        length = np.diff(ends).astype(np.int32)
+        owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
+        inside = np.arange(len(codes), dtype=np.int32) - ends[owner].astype(np.int32)
+        sizes = {n: most_edits(n) for n in np.unique(length).tolist()}
+        edits = np.array([sizes[n] for n in length.tolist()], dtype=np.int32)
+        place, reach, found = 2 * inside - length[owner] + PLACE, edits[owner], []
+        for s, starts, steps, keys in self.parts:
+            n = s // 2
+            near, far = (_runs(codes, w, len(codes) + 4 * s) for w in (n, s - n))
+            first = _join(near[: len(codes)], far[n : len(codes) + n], 0)
+            pos = starts.where(first)
+            first = first[pos]
+            jobs = []
+            key = _join(first, near[pos + s], 1)
+            some = steps[0].where(key)
+            p, m = pos[some], key[some]
+            jobs += [(keys[0], p, _join(m, near[p + 2 * s + d], 4)) for d in (-1, 0, 1)]
+            jobs += [(keys[1], p, _join(m, far[p + 2 * s + n + d], 4)) for d in (-2, -1, 0, 1, 2)]
+            key = _join(m, far[p + s + n], 3)
+            some = steps[2].where(key)
+            p, m = p[some], key[some]
+            jobs.append((keys[4], p, m))
+            jobs += [(keys[5], p, _join(m, near[p + 3 * s + d], 5)) for d in (-2, -1, 0, 1, 2)]
+            jobs += [(keys[6], p, _join(m, far[p + 3 * s + n + d], 5)) for d in (-3, -2, -1, 0, 1, 2, 3)]
+            for d in (-1, 0, 1):
+                key = _join(first, far[pos + s + n + d], 2)
+                some = steps[1].where(key)
+                p, m = pos[some], key[some]
+                jobs.append((keys[2], p, _join(m, near[p + 2 * s + d], 4)))
+                jobs += [(keys[3], p, _join(m, far[p + 2 * s + n + d + g], 4)) for g in (-1, 0, 1)]
+            for table, p, key in jobs:
+                some, at = table.find(key)
+                p = p[some]
+                t, c, r = owner[p], place[p], reach[p]
+                own = length[t]
+                for row, k in table.rows_of(at, c - r, c + r):
+                    delta = table.length[row]
+                    delta -= own[k]
+                    np.abs(delta, out=delta)
+                    ok = np.flatnonzero(delta <= r[k])
+                    found.append((table.eid[row[ok]] << 32) | t[k[ok]])
+        found = [x for x in found if len(x)]
+        if not found:
+            return np.zeros(0, np.int64)
+        pairs = np.concatenate(found)
+        pairs.sort()
+        pairs = pairs[np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])]
+        sketch, kept = _sketch(codes.astype(np.uint64), ends, 4, self.words), [pairs[:0]]
+        step = max(1, MAX_PAIRS * 16 // self.words)
+        for at in range(0, len(pairs), step):
+            some = pairs[at : at + step]
+            e, t = some >> 32, some & 0xFFFFFFFF
+            tau = allowed(np.maximum(length[t], self.length[e]))
+            ok = np.flatnonzero((np.abs(length[t] - self.length[e]) <= tau))
+            e, t, tau = e[ok], t[ok], tau[ok]
+            ok = _differ(self.sketch, e, sketch, t) <= 8 * tau
+            kept.append(e[ok] * len(length) + t[ok])
+        return np.concatenate(kept)
+
+
 def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[int, int, int]]:
     """``(eval index, train index, distance)`` of all pairs within the allowed edits.
 
-    An evaluation text with at most ``k`` edits to any other is cut into
-    ``k + 1`` segments; a training text within ``k`` edits holds one of them
-    unchanged at a position that the number of segments before and after it
-    allows. Walking from the left, take the first segment by which there have
-    been fewer edits than segments: it is unchanged, exactly as many edits as
-    segments lie before it, and any run of ``l`` segments that ends with it has
-    at most ``l - 1`` edits. So its left neighbour has at most one, which leaves
-    half of it unchanged at a distance known up to one letter. Hashes of all
-    training substrings of the segments' lengths are looked up; pairs found are
-    screened by length, position, left neighbour and sketches, and verified by
-    banded dynamic programming.
+    Candidates share a key of a ``SegmentIndex`` at an allowed position and pass
+    filters that lose nothing (lengths, sketches of runs of letters); they are
+    verified by banded dynamic programming. Training texts go through the index
+    in pieces of bounded size.
     """
     if not eval_texts or not train_texts:
         return []
-    ec, ee = _codes(eval_texts)
+    index = SegmentIndex(eval_texts)
+    out: list[tuple[int, int, int]] = []
+    size, start = 0, 0
+    for stop, text in enumerate(train_texts, 1):
+        size += len(text)
+        if size >= PIECE_LETTERS or stop == len(train_texts):
+            out += [(e, start + t, d) for e, t, d in _verified(index, train_texts[start:stop])]
+            size, start = 0, stop
+    return out
+
+
+def _verified(index: SegmentIndex, train_texts: list[str]) -> list[tuple[int, int, int]]:
+    ec, ee, el = index.codes, index.ends, index.length
     tc, te = _codes(train_texts)
-    el, tl = np.diff(ee), np.diff(te)
-    edits = np.array([most_edits(int(n)) for n in range(int(el.max()) + 1)], dtype=np.int64)[el] if el.max() < 100_000 else np.array([most_edits(int(n)) for n in el])
-    size = el // (edits + 1)
-    es, ts = _sketch(ec, ee, 3, 16), _sketch(tc, te, 3, 16)
-    es2, ts2 = _sketch(ec, ee, 2, 16), _sketch(tc, te, 2, 16)
-    owner = np.repeat(np.arange(len(tl)), tl)
-    found: list[np.ndarray] = []
-    for s in np.unique(size):
-        s = int(s)
-        own = np.flatnonzero(size == s)
-        per = edits[own] + 1
-        eid = np.repeat(own, per)
-        seg = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        eh = _rolling(ec, s)
-        keys = eh[ee[eid] + seg * s]
-        uniq, where = np.unique(keys, return_inverse=True)
-        most = int(seg.max()) + 1
-        order = np.argsort(where * most + seg, kind="stable")
-        eid, seg, where = eid[order], seg[order], where[order]
-        composite = where * most + seg
-        bits = np.zeros(1 << 22, dtype=bool)
-        bits[(uniq >> np.uint64(42)).astype(np.int64)] = True
-        th = _rolling(tc, s)
-        if not len(th):
-            continue
-        near_part, far_part = s // 2, s - s // 2
-        ea, eb, ta, tb = (np.append(_rolling(c, k), np.zeros(s, np.uint64)) for c, k in ((ec, far_part), (ec, near_part), (tc, far_part), (tc, near_part)))
-        pos = np.flatnonzero(bits[(th >> np.uint64(42)).astype(np.int64)])
-        tid = owner[pos]
-        inside = pos + s <= te[tid + 1]
-        pos, tid = pos[inside], tid[inside]
-        at = np.searchsorted(uniq, th[pos])
-        at[at == len(uniq)] = 0
-        hit = uniq[at] == th[pos]
-        pos, tid, at = pos[hit], tid[hit], at[hit]
-        p = pos - te[tid]
-        lo = -(-p // (s + 1))
-        hi = np.minimum(p // max(1, s - 1), most - 1)
-        if len(uniq) * (most + 1) <= 40_000_000:
-            table = np.zeros(len(uniq) * most + 1, dtype=np.int32)
-            np.cumsum(np.bincount(composite, minlength=len(uniq) * most), out=table[1:])
-            lo = np.minimum(lo, most)
-            first = np.where(lo <= hi, table[np.minimum(at * most + lo, len(table) - 1)], 0)
-            last = np.where(lo <= hi, table[np.minimum(at * most + hi + 1, len(table) - 1)], 0)
-        else:
-            first = np.searchsorted(composite, at * most + lo)
-            last = np.where(lo <= hi, np.searchsorted(composite, at * most + hi, side="right"), first)
-        n = np.maximum(last.astype(np.int64) - first, 0)
-        some = n > 0
-        tid, p, first, n = tid[some], p[some], first[some].astype(np.int64), n[some]
-        total = np.cumsum(n)
-        start = 0
-        while start < len(n):
-            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + MAX_PAIRS, side="right")))
-            m = n[start:stop]
-            idx = np.repeat(first[start:stop] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-            e, i = eid[idx], seg[idx]
-            t, q = np.repeat(tid[start:stop], m), np.repeat(p[start:stop], m)
-            shift = q - i * s
-            delta = tl[t] - el[e]
-            tau = allowed(np.maximum(tl[t], el[e]))
-            ok = np.flatnonzero((np.abs(shift) <= i) & (np.abs(shift - delta) <= edits[e] - i) & (np.abs(delta) <= tau))
-            e, t, i, q = e[ok], t[ok], i[ok], q[ok]
-            # of the segments that fit so, one also has at most one edit in the segment to its left
-            x, y = ee[e] + i * s, te[t] + q
-            ok = (i == 0) | (tb[y - near_part] == eb[x - near_part])
-            for d in (-1, 0, 1):
-                ok |= ta[np.maximum(y - s + d, 0)] == ea[x - s]
-            e, t, tau = e[ok], t[ok], allowed(np.maximum(tl[t[ok]], el[e[ok]]))
-            near = _differ(es, e, ts, t) <= 6 * tau
-            e, t, tau = e[near], t[near], tau[near]
-            near = _differ(es2, e, ts2, t) <= 4 * tau
-            found.append(np.unique(e[near] * np.int64(len(tl)) + t[near]))
-            start = stop
-    if not found:
-        return []
-    pairs = np.unique(np.concatenate(found))
+    tl = np.diff(te)
+    pairs = index.candidates(tc, te)
     out: list[tuple[int, int, int]] = []
     e, t = pairs // len(tl), pairs % len(tl)
     order = np.argsort(el[e], kind="stable")
@@ -236,15 +381,39 @@ def _band(c):
     return F.floor(F.log(F.greatest(c, F.lit(MIN_LETTERS)) / F.lit(float(MIN_LETTERS))) / F.lit(math.log(BAND)) + F.lit(1e-9)).cast("int")
 
 
+def kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's kind by its letters (0 Thai, 1 Han, 2 other letters beyond ASCII, 3 ASCII), and a bit for each kind its near texts may have.
+
+    An edit moves twice a script's letters less all letters by at most 2, and
+    100 times the marked letters less 13 times all letters by at most 100.
+    """
+    codes, ends = _codes(texts)
+    n = np.diff(ends)
+    edits = {m: most_edits(m) for m in np.unique(n).tolist()}
+    k = np.array([edits[m] for m in n.tolist()], dtype=np.int64)
+
+    def count(flag: np.ndarray) -> np.ndarray:
+        total = np.r_[0, np.cumsum(flag)]
+        return total[ends[1:]] - total[ends[:-1]]
+
+    thai, han = 2 * count((codes >= 0xE00) & (codes < 0xE80)) - n, 2 * count((codes >= 0x3400) & (codes < 0xA000)) - n
+    marked = 100 * count(codes > 127) - 13 * n
+    kind = np.where(thai > 0, 0, np.where(han > 0, 1, np.where(marked > 0, 2, 3)))
+    sure = [thai - 2 * k > 0, han - 2 * k > 0, marked - 100 * k > 0]
+    may = [thai + 2 * k > 0, (han + 2 * k > 0) & ~sure[0], (marked + 100 * k > 0) & ~sure[0] & ~sure[1], ~sure[0] & ~sure[1] & ~sure[2]]
+    return kind.astype(np.int32), sum(m.astype(np.int32) << i for i, m in enumerate(may))
+
+
 class CrossSplit:
     """Near pairs of texts between evaluation and training clips.
 
     Texts are reduced to letters; those of fewer than 20 take no part, nor do
     clips without text or split. Equal texts become one text of two 64-bit
-    hashes, so copies cost one comparison. Texts go to bands of evaluation
-    lengths (a training text to each band it can match, about two), and bands
-    to blocks of bounded letters; each pair of an evaluation and a training
-    block is joined in one task, whose size does not grow with the data or with
+    hashes, so copies cost one comparison. A training text goes to one cell, of
+    its kind of letters and band of lengths; an evaluation text, of which there
+    are fewer, to each cell where its near texts can be (about three). Cells are cut
+    into blocks of bounded letters; each pair of an evaluation and a training
+    block of a cell is joined in one task, whose size does not grow with the data or with
     a hot length. Empty tables give no pairs.
     """
 
@@ -254,26 +423,35 @@ class CrossSplit:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 own = [letters(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.string()), batch.column(2), batch.column(3)], names=["clip_id", "letters", "split", "source_id"])
+                keep = [i for i, t in enumerate(own) if len(t) >= MIN_LETTERS]
+                own, rest = [own[i] for i in keep], batch.take(pa.array(keep, pa.int64()))
+                kind, near = kinds(own)
+                yield pa.RecordBatch.from_arrays([rest.column(0), pa.array(own, pa.string()), rest.column(2), rest.column(3), pa.array(kind), pa.array(near)], names=["clip_id", "letters", "split", "source_id", "kind", "near"])
 
         used = clips.where("text is not null and split in ('train', 'val', 'test')").select(F.col("clip_id").cast("bigint").alias("clip_id"), "text", F.col("split").cast("string").alias("split"), F.col("source_id").cast("string").alias("source_id"))
-        norm = used.mapInArrow(run, "clip_id bigint, letters string, split string, source_id string").where(F.length("letters") >= MIN_LETTERS)
+        norm = used.mapInArrow(run, "clip_id bigint, letters string, split string, source_id string, kind int, near int")
         norm = norm.withColumn("h1", F.xxhash64("letters")).withColumn("h2", F.xxhash64(F.lit("weft"), "letters"))
         norm = materialise(norm, "overlap-letters")
         self.members = norm.select("h1", "h2", "clip_id", "split", "source_id")
         is_train = F.col("split") == "train"
-        texts = norm.groupBy("h1", "h2").agg(F.first("letters").alias("letters"), F.max(is_train).alias("train"), F.max(~is_train).alias("held")).withColumn("n", F.length("letters"))
+        texts = norm.groupBy("h1", "h2").agg(F.first(F.struct("letters", "kind", "near")).alias("x"), F.max(is_train).alias("train"), F.max(~is_train).alias("held")).select("h1", "h2", "x.*", "train", "held", F.length("x.letters").alias("n"))
         texts = materialise(texts, "overlap-texts")
         lo, hi = F.greatest(F.ceil(F.col("n") * (100 - PERCENT) / 100), F.lit(MIN_LETTERS)), F.floor(F.col("n") * 100 / (100 - PERCENT))
-        held = texts.where("held").withColumn("band", _band(F.col("n")))
-        train = texts.where("train").withColumn("band", F.explode(F.sequence(_band(lo), _band(hi))))
-        sized = held.groupBy("band").agg(F.sum("n").alias("e")).join(train.groupBy("band").agg(F.sum("n").alias("t")), "band").collect()  # one row a band
-        bands = spark.createDataFrame([(r["band"], -(-r["e"] // BLOCK_LETTERS), -(-r["t"] // BLOCK_LETTERS)) for r in sized], "band int, ne long, nt long")
-        bands = F.broadcast(bands)
-        some = F.lit(0).cast("bigint")
-        held = held.join(bands, "band").withColumn("eb", F.pmod(F.col("h1"), F.col("ne"))).withColumn("tb", F.explode(F.sequence(some, F.col("nt") - 1)))
-        train = train.join(bands, "band").withColumn("tb", F.pmod(F.col("h1"), F.col("nt"))).withColumn("eb", F.explode(F.sequence(some, F.col("ne") - 1)))
-        cols = ["band", "eb", "tb", "h1", "h2", "letters"]
+        train = texts.where("train").withColumn("band", _band(F.col("n")))
+        may = F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.expr("near").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0)
+        held = texts.where("held").withColumn("kind", F.explode(may)).withColumn("band", F.explode(F.sequence(_band(lo), _band(hi))))
+        cell = ["kind", "band"]
+        sized = held.groupBy(cell).agg(F.sum("n").alias("e")).join(train.groupBy(cell).agg(F.sum("n").alias("t")), cell).collect()  # a row a cell: four kinds, a band each 15 % of length
+        cells, blocks = [], 0
+        for r in sorted(sized):
+            ne, nt = -(-r["e"] // BLOCK_LETTERS), -(-r["t"] // BLOCK_LETTERS)
+            cells.append((r["kind"], r["band"], ne, nt, blocks))
+            blocks += ne * nt
+        cells = F.broadcast(spark.createDataFrame(cells, "kind int, band int, ne bigint, nt bigint, base bigint"))
+        all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+        held = held.join(cells, cell).withColumn("eb", F.pmod(F.col("h1"), F.col("ne"))).withColumn("tb", all_of("nt"))
+        train = train.join(cells, cell).withColumn("tb", F.pmod(F.col("h1"), F.col("nt"))).withColumn("eb", all_of("ne"))
+        cols = [(F.col("base") + F.col("eb") * F.col("nt") + F.col("tb")).alias("block"), "h1", "h2", "letters"]
         work = held.select(*cols, F.lit(True).alias("is_held")).unionByName(train.select(*cols, F.lit(False).alias("is_held")))
 
         def join(group: pa.Table) -> pa.Table:
@@ -284,10 +462,9 @@ class CrossSplit:
             x, y = e[[h[0] for h in hits]] if hits else e[:0], t[[h[1] for h in hits]] if hits else t[:0]
             return pa.table({"e1": h1[x], "e2": h2[x], "t1": h1[y], "t2": h2[y], "edits": pa.array([h[2] for h in hits], pa.int32())})
 
-        # as many partitions as block pairs, at most a few thousand: adaptive execution would merge them by bytes, not by work
-        blocks = sum(-(-r["e"] // BLOCK_LETTERS) * -(-r["t"] // BLOCK_LETTERS) for r in sized)
-        work = work.repartition(max(1, min(4096, 2 * blocks)), "band", "eb", "tb")
-        self.pairs = materialise(work.groupBy("band", "eb", "tb").applyInArrow(join, "e1 bigint, e2 bigint, t1 bigint, t2 bigint, edits int"), "overlap-pairs")
+        # a few partitions a block, at most some thousands: adaptive execution would merge them by bytes, not by work
+        work = work.repartition(max(1, min(4096, 4 * blocks)), "block")
+        self.pairs = materialise(work.groupBy("block").applyInArrow(join, "e1 bigint, e2 bigint, t1 bigint, t2 bigint, edits int"), "overlap-pairs")
 
     def clip_pairs(self) -> DataFrame:
         """``clip_id_a, clip_id_b`` (smaller first), edits, and split and source of both sides."""
