@@ -15,10 +15,10 @@ from weft.session import materialise
 
 MIN_LETTERS, PERCENT = 20, 10
 #: Ratio of the lengths in a band, letters in a block of a band and in a piece of a block, and candidates handled together.
-BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.15, 6_000_000, 250_000
+BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.08, 6_000_000, 250_000
 MAX_PAIRS = 60_000
 #: Rows of a key beyond which those with a fitting place are searched for.
-MANY = 12
+MANY = 8
 #: Keeps places above zero; no text is longer.
 PLACE = 1 << 30
 
@@ -163,10 +163,10 @@ class _Present:
 class _Rows:
     """Evaluation rows by key and place, found through a directory of the keys' leading bits."""
 
-    def __init__(self, keys: np.ndarray, place: np.ndarray, length: np.ndarray, eid: np.ndarray):
+    def __init__(self, keys: np.ndarray, place: np.ndarray, length: np.ndarray, eid: np.ndarray, seg: np.ndarray):
         order = np.argsort((keys.astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
         keys, self.eid = keys[order], eid[order]
-        self.length = length[self.eid]
+        self.length, self.spot, self.seg = length[self.eid], place[order].astype(np.int32), seg[order].astype(np.int32)
         new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         self.keys, self.start = keys[new], np.r_[new, len(keys)]
         width = max(8, min(22, (2 * len(new)).bit_length()))
@@ -191,7 +191,7 @@ class _Rows:
         return pos[ok], at[ok]
 
     def rows_of(self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows with these keys, at least all with a place from ``lo`` to ``hi``, and the number of the query; in pieces."""
+        """Rows with these keys, of frequent keys only those with a place from ``lo`` to ``hi``, and the number of the query; in pieces."""
         first, n = self.start[at], self.start[at + 1]
         n -= first
         many = np.flatnonzero(n > MANY)
@@ -259,13 +259,13 @@ class SegmentIndex:
             first = _join(near[x], far[x + n], 0)
             steps = [_join(first, near[x + s], 1), _join(first, far[x + s + n], 2)]
             keys = [_join(m, h, 4) for m in steps for h in (near[x + 2 * s], far[x + 2 * s + n])]
-            tables = [_Rows(k, place, self.length, eid) for k in keys]
+            tables = [_Rows(k, place, self.length, eid, seg) for k in keys]
             whole = _join(steps[0], far[x + s + n], 3)
             steps.append(whole)
             last = seg == self.edits[eid]  # no fourth segment
-            tables.append(_Rows(whole[last], place[last], self.length, eid[last]))
-            x, whole, place, eid = x[~last], whole[~last], place[~last], eid[~last]
-            tables += [_Rows(_join(whole, h, 5), place, self.length, eid) for h in (near[x + 3 * s], far[x + 3 * s + n])]
+            tables.append(_Rows(whole[last], place[last], self.length, eid[last], seg[last]))
+            x, whole, place, eid, seg = x[~last], whole[~last], place[~last], eid[~last], seg[~last]
+            tables += [_Rows(_join(whole, h, 5), place, self.length, eid, seg) for h in (near[x + 3 * s], far[x + 3 * s + n])]
             self.parts.append((s, _Present(first), [_Present(m) for m in steps], tables))
 
     def candidates(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -306,10 +306,14 @@ class SegmentIndex:
                 t, c, r = owner[p], place[p], reach[p]
                 own = length[t]
                 for row, k in table.rows_of(at, c - r, c + r):
-                    delta = table.length[row]
+                    off = table.spot[row]  # less c: how far the run is off its places, from the start and from the end
+                    off -= c[k]
+                    ok = np.flatnonzero(np.abs(off) <= r[k])
+                    row, k, off = row[ok], k[ok], off[ok]
+                    delta, tau = table.length[row], r[k]
                     delta -= own[k]
-                    np.abs(delta, out=delta)
-                    ok = np.flatnonzero(delta <= r[k])
+                    off -= delta  # twice the distance from the end
+                    ok = np.flatnonzero((np.abs(delta) <= tau) & (np.abs(off) <= 2 * (tau - table.seg[row])))
                     found.append((table.eid[row[ok]] << 32) | t[k[ok]])
         found = [x for x in found if len(x)]
         if not found:
@@ -387,6 +391,13 @@ def kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     An edit moves twice a script's letters less all letters by at most 2, and
     100 times the marked letters less 13 times all letters by at most 100.
     """
+    kind, near = np.full(len(texts), 3, np.int32), np.full(len(texts), 8, np.int32)
+    high = [i for i, t in enumerate(texts) if not t.isascii()]  # most_edits(n) < 0.13 * n, so near texts of ASCII ones are of their kind
+    kind[high], near[high] = _kinds([texts[i] for i in high])
+    return kind, near
+
+
+def _kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, ends = _codes(texts)
     n = np.diff(ends)
     edits = {m: most_edits(m) for m in np.unique(n).tolist()}
@@ -411,7 +422,7 @@ class CrossSplit:
     clips without text or split. Equal texts become one text of two 64-bit
     hashes, so copies cost one comparison. A training text goes to one cell, of
     its kind of letters and band of lengths; an evaluation text, of which there
-    are fewer, to each cell where its near texts can be (about three). Cells are cut
+    are fewer, to each cell where its near texts can be (about four). Cells are cut
     into blocks of bounded letters; each pair of an evaluation and a training
     block of a cell is joined in one task, whose size does not grow with the data or with
     a hot length. Empty tables give no pairs.
@@ -422,7 +433,7 @@ class CrossSplit:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = [letters(t) for t in batch.column(1).to_pylist()]
+                own = list(map(letters, batch.column(1).to_pylist()))
                 keep = [i for i, t in enumerate(own) if len(t) >= MIN_LETTERS]
                 own, rest = [own[i] for i in keep], batch.take(pa.array(keep, pa.int64()))
                 kind, near = kinds(own)
@@ -441,7 +452,7 @@ class CrossSplit:
         may = F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.expr("near").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0)
         held = texts.where("held").withColumn("kind", F.explode(may)).withColumn("band", F.explode(F.sequence(_band(lo), _band(hi))))
         cell = ["kind", "band"]
-        sized = held.groupBy(cell).agg(F.sum("n").alias("e")).join(train.groupBy(cell).agg(F.sum("n").alias("t")), cell).collect()  # a row a cell: four kinds, a band each 15 % of length
+        sized = held.groupBy(cell).agg(F.sum("n").alias("e")).join(train.groupBy(cell).agg(F.sum("n").alias("t")), cell).collect()  # a row a cell: four kinds, a band each 8 % of length
         cells, blocks = [], 0
         for r in sorted(sized):
             ne, nt = -(-r["e"] // BLOCK_LETTERS), -(-r["t"] // BLOCK_LETTERS)
