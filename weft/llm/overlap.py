@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.letters import letters
+from weft.llm.letters import letters_of
 from weft.session import materialise
 
 MIN_LETTERS, PERCENT = 20, 10
@@ -42,14 +42,16 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), ends
 
 
-def _rolling(codes: np.ndarray, s: int) -> np.ndarray:
-    h = np.zeros(max(0, len(codes) - s + 1), dtype=np.uint64)
-    for j in range(s):
-        h *= np.uint64(1099511628211)
-        h += codes[j : j + len(h)]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+def _runs(codes: np.ndarray, w: int, n: int) -> np.ndarray:
+    """32-bit hashes of all runs of ``w`` letters, with ``n`` entries."""
+    h = np.zeros(n, dtype=np.uint32)
+    m = max(0, len(codes) - w + 1)
+    for j in range(w):
+        h[:m] *= np.uint32(0x01000193)
+        h[:m] += codes[j : j + m]
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x2C1B3C6D)
+    return h
 
 
 def _sketch(codes: np.ndarray, ends: np.ndarray, q: int, words: int) -> np.ndarray:
@@ -59,16 +61,22 @@ def _sketch(codes: np.ndarray, ends: np.ndarray, q: int, words: int) -> np.ndarr
     sketches of two texts differ in at most ``2 * q`` bits an edit: a filter
     that loses nothing.
     """
-    rows, size = len(ends) - 1, 64 * words
-    h = _rolling(codes, q)
-    owner = np.repeat(np.arange(rows), np.diff(ends))
-    inside = np.flatnonzero(np.arange(len(h)) + q <= ends[owner[: len(h)] + 1])  # no run may reach into the next text
-    cell = owner[inside] * size + (h[inside] >> np.uint64(64 - (size.bit_length() - 1))).astype(np.int64)
-    odd = np.zeros(rows * size, dtype=np.uint8)
-    cell.sort()
-    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    odd[cell[first]] = np.diff(np.r_[first, len(cell)]) & 1
-    return np.packbits(odd.reshape(rows, size), axis=1).view(np.uint64)
+    size, out = 64 * words, []
+    step = max(1, (1 << 21) // size)
+    for at in range(0, len(ends) - 1, step):
+        own = ends[at : at + step + 1]
+        rows = len(own) - 1
+        part = codes[own[0] : own[-1]]
+        own = own - own[0]
+        cell = np.repeat(np.arange(rows, dtype=np.int64) * size, np.diff(own))
+        cell += _runs(part, q, len(part)) >> np.uint32(32 - (size.bit_length() - 1))
+        for j in range(1, q):  # no run may reach into the next text
+            last = own[1:] - j
+            cell[last[last >= own[:-1]]] = rows * size
+        odd = np.bincount(cell, minlength=rows * size + 1)[:-1].astype(np.uint8)
+        odd &= 1
+        out.append(np.packbits(odd.reshape(rows, size), axis=1).view(np.uint64))
+    return np.concatenate(out)
 
 
 def _differ(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -119,18 +127,6 @@ def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray
     return out
 
 
-def _runs(codes: np.ndarray, w: int, n: int) -> np.ndarray:
-    """32-bit hashes of all runs of ``w`` letters, with ``n`` entries."""
-    h = np.zeros(n, dtype=np.uint32)
-    m = max(0, len(codes) - w + 1)
-    for j in range(w):
-        h[:m] *= np.uint32(0x01000193)
-        h[:m] += codes[j : j + m]
-    h ^= h >> np.uint32(15)
-    h *= np.uint32(0x2C1B3C6D)
-    return h
-
-
 def _join(a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
     h = a * np.uint32(0x9E3779B1 + 2 * kind)
     h += b
@@ -246,7 +242,7 @@ class SegmentIndex:
         self.edits = np.array([sizes[n][0] for n in self.length.tolist()], dtype=np.int32)
         size = np.array([sizes[n][1] for n in self.length.tolist()])
         self.words = 1 << min(9, max(3, (int(self.length.max()) // 8).bit_length()))  # 8 to 16 bits a letter of the longest text
-        self.sketch = _sketch(self.codes.astype(np.uint64), self.ends, 4, self.words)
+        self.sketch = _sketch(self.codes, self.ends, 4, self.words)
         self.parts = []
         for s in np.unique(size).tolist():
             own = np.flatnonzero(size == s)
@@ -321,7 +317,7 @@ class SegmentIndex:
         pairs = np.concatenate(found)
         pairs.sort()
         pairs = pairs[np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])]
-        sketch, kept = _sketch(codes.astype(np.uint64), ends, 4, self.words), [pairs[:0]]
+        sketch, kept = _sketch(codes, ends, 4, self.words), [pairs[:0]]
         step = max(1, MAX_PAIRS * 16 // self.words)
         for at in range(0, len(pairs), step):
             some = pairs[at : at + step]
@@ -433,7 +429,7 @@ class CrossSplit:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = list(map(letters, batch.column(1).to_pylist()))
+                own = letters_of(batch.column(1).to_pylist())
                 keep = [i for i, t in enumerate(own) if len(t) >= MIN_LETTERS]
                 own, rest = [own[i] for i in keep], batch.take(pa.array(keep, pa.int64()))
                 kind, near = kinds(own)
