@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,10 @@ from weft.session import materialise
 
 MIN_LETTERS, PERCENT = 20, 10
 #: Ratio of the lengths in a band, letters in a block of a band and in a piece of a block, and candidates handled together.
-BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.08, 6_000_000, 250_000
-MAX_PAIRS = 60_000
+BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.08, 6_000_000, 500_000
+MAX_PAIRS = 30_000
 #: Rows of a key beyond which those with a fitting place are searched for.
-MANY = 8
+MANY = 5
 #: Keeps places above zero; no text is longer.
 PLACE = 1 << 30
 
@@ -28,6 +29,7 @@ def allowed(longer: np.ndarray | int):
     return longer * PERCENT // 100
 
 
+@lru_cache(1 << 16)
 def most_edits(n: int) -> int:
     """Most edits between a text of ``n`` letters and any other."""
     longest = n
@@ -206,6 +208,7 @@ class _Rows:
             start = stop
 
 
+@lru_cache(1 << 16)
 def _segment(n: int) -> int:
     """Length of the segments of a text of ``n`` letters: never less for a longer text."""
     return min(m // (most_edits(m) + 3) for m in range(n, n + 90)) if n < 1_000 else n // (most_edits(n) + 3)
