@@ -169,7 +169,8 @@ class _Rows:
         self.keys, self.start = keys[new], np.r_[new, len(keys)]
         width = max(8, min(22, (2 * len(new)).bit_length()))
         self.shift = np.uint32(32 - width)
-        self.dir = np.searchsorted(self.keys, np.arange(1 << width, dtype=np.uint32) << self.shift).astype(np.int32)
+        count = np.bincount(self.keys >> self.shift, minlength=1 << width)
+        self.dir = (np.cumsum(count) - count).astype(np.int32)
         self.place = (np.repeat(np.arange(len(new)), np.diff(self.start)) << 32) | place[order]  # ascending
         self.present = _Present(self.keys)
 
@@ -403,8 +404,7 @@ def _kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     k = np.array([edits[m] for m in n.tolist()], dtype=np.int64)
 
     def count(flag: np.ndarray) -> np.ndarray:
-        total = np.r_[0, np.cumsum(flag)]
-        return total[ends[1:]] - total[ends[:-1]]
+        return np.add.reduceat(flag, ends[:-1], dtype=np.int64) if len(n) else n
 
     thai, han = 2 * count((codes >= 0xE00) & (codes < 0xE80)) - n, 2 * count((codes >= 0x3400) & (codes < 0xA000)) - n
     marked = 100 * count(codes > 127) - 13 * n
