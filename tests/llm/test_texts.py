@@ -11,7 +11,7 @@ from weft.llm.language import Identifier, SuffixAutomaton, label_language, langu
 from weft.llm.leakage import WuManber, leaked_passages, passages
 from weft.llm.letters import letters, words
 from weft.llm.packing import Packing, plan_containers
-from weft.llm.quality import document_quality, induce_rules, text_statistics
+from weft.llm.quality import Statistics, document_quality, induce_rules, text_statistics
 from weft.llm.tokens import ChunkEncoder, encode_documents
 
 REF = {
@@ -219,10 +219,36 @@ def test_statistics_count_every_symbol(spark):
         kinds = [unicodedata.category(c)[0] for c in t]
         assert r["symbol_share"] == pytest.approx(sum(k in "PS" for k in kinds) / len(t), abs=1e-6), t
         assert r["digit_share"] == pytest.approx(kinds.count("N") / len(t), abs=1e-6), t
-    assert [r["words"] for r in got] == [0, 5, 4, 3, 4, 0, 3]
+    assert [r["words"] for r in got] == [0, 5, 4, 5, 4, 0, 3]  # a Han character is a word
     assert [r["odd_share"] for r in got][-1] == pytest.approx(2 / 3, abs=1e-6)
 
 
+def test_rules_hold_on_texts_not_made_by_the_generator(spark):
+    from natural_texts import JUNK, PROSE
+
+    d = "/root/testdata/sf0.001"
+    texts = [t for v in PROSE.values() for t in v] + JUNK
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = document_quality(docs, spark.read.parquet(f"{d}/lang_reference.parquet"), spark.read.parquet(f"{d}/common_words.parquet")).orderBy("doc_id").collect()
+    prose = [r["is_prose"] for r in got][: -len(JUNK)]
+    junk = [r["is_prose"] for r in got][-len(JUNK) :]
+    assert sum(prose) >= 0.9 * len(prose) and junk.count(0) >= 0.9 * len(junk)
+
+
+def test_statistics_do_not_depend_on_the_other_texts():
+    from natural_texts import JUNK, PROSE
+
+    texts = [t for v in PROSE.values() for t in v] + JUNK + ["", " \n", "\n\n", "a", "เ", "字", "x " * 3000, "\u200b"]
+    make = Statistics(["the", "and", "yang", "của", "ที่", "的", "我们"])
+    together = make.of(texts)
+    for i, t in enumerate(texts):
+        assert {k: v[0] for k, v in make.of([t]).items()} == {k: v[i] for k, v in together.items()}, t
+    assert together["repeat_share"][-2] > 0.99 and together["words"][-3] == 1 and together["chars"][-1] == 0
+    one = make.of(["the cat and the dog"])
+    assert (one["words"][0], one["common_share"][0], one["mean_word"][0]) == (5, 0.6, 3.0)
+    assert make.of(["我们的书"])["common_share"][0] == pytest.approx(0.5)
+
+
 def test_too_many_common_words_are_an_error(spark, reference):
     from pyspark.sql import functions as F
 
