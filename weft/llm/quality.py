@@ -20,6 +20,8 @@ from weft.llm.encoding import common_word_rows, reference_texts
 MAX_COMMON, LABELLED = 20_000, 2_400
 #: Characters worked on together; a longer text is worked on alone.
 TOGETHER = 500_000
+#: Words that a Han character and a Thai syllable stand for where the length of a piece matters, and words of an item that reads like prose.
+HAN_WEIGHT, THAI_WEIGHT, ITEM_WORDS = 0.7, 0.8, 10
 #: A repeat counts if the same three words stood at most so many words before.
 NEAR_WORDS = 256
 #: Characters that end a line of prose (fixed values).
@@ -32,10 +34,10 @@ SEPARATORS = "|;={}<>[]•·\\~^*_#\t"
 COMMAS, BULLETS = ",，、", "-–—*•·#>|"
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
 #: Statistics the rules may test.
-FEATURES = ("flow", "long4", "long8", "common4", "listed", "mean_piece", "common_share", "digit_share", "symbol_share", "odd_share", "end_punct_share", "short_lines", "distinct_lines", "repeat_share", "bullet_share", "mean_word")
+FEATURES = ("flow", "long4", "long8", "common4", "listed", "mean_piece", "mean_run", "common_share", "digit_share", "symbol_share", "odd_share", "end_punct_share", "short_lines", "distinct_lines", "repeat_share", "bullet_share", "mean_word")
 COUNTS = ("chars", "words", "lines")
 LETTER, NUMBER, BLANK, THAI, HAN, JOINER, BREAK, HIDDEN = (1 << i for i in range(8))
-STOP, WIDE, SEPARATOR, COMMA, BULLET, END, VOWEL, LEADING, CONSONANT, SYMBOL = (1 << i for i in range(8, 18))
+STOP, WIDE, SEPARATOR, COMMA, BULLET, END, VOWEL, LEADING, CONSONANT, SYMBOL, SLASH, CLOSER = (1 << i for i in range(8, 20))
 
 
 @cache
@@ -46,7 +48,7 @@ def _table() -> tuple[np.ndarray, np.ndarray]:
     kind = np.zeros(sys.maxunicode + 1, dtype=np.int32)
     for pattern, flag in ((r"[\p{L}\p{M}]", LETTER), (r"\p{N}", NUMBER), (r"[\s\p{Z}]", BLANK), (r"[\p{P}\p{S}]", SYMBOL), (r"[\p{Han}]", HAN), ("[\u0e01-\u0e5b]", THAI)):
         kind[[ord(c) for c in regex.findall(pattern, text)]] |= flag
-    for chars, flag in (("'’-", JOINER), ("\n\r", BREAK), (INVISIBLE, HIDDEN), (STOPS, STOP), (WIDE_STOPS, WIDE), (SEPARATORS, SEPARATOR), (COMMAS, COMMA), (BULLETS, BULLET), (ENDS, END), ("bcdfghjklmnpqrstvwxz", CONSONANT)):
+    for chars, flag in (("'’-", JOINER), ("\n\r", BREAK), (INVISIBLE, HIDDEN), (STOPS, STOP), (WIDE_STOPS, WIDE), (SEPARATORS, SEPARATOR), (COMMAS, COMMA), (BULLETS, BULLET), (ENDS, END), ("/·", SLASH), (".)）", CLOSER), ("bcdfghjklmnpqrstvwxz", CONSONANT)):
         kind[[ord(c) for c in chars]] |= flag
     for lo, hi in ((0xE30, 0xE3A), (0xE47, 0xE4E)):
         kind[lo : hi + 1] |= VOWEL
@@ -163,20 +165,30 @@ class Statistics:
         fresh = np.r_[len(order) > 0, (lhash[order][1:] != lhash[order][:-1]) | (ldoc[order][1:] != ldoc[order][:-1])][: len(order)]
         distinct = per(ldoc[order[fresh]], n)
         bullet = (kind[begin] & BULLET) != 0
+        named = letter | number  # a), 1. or 12) and a blank
+        for k in (1, 2, 3):
+            ok = begin[begin + k + 1 < size]
+            bullet[: len(ok)] |= np.logical_and.reduce([named[ok + j] for j in range(k)]) & ((kind[ok + k] & CLOSER) != 0) & ~solid[ok + k + 1]
         # a piece ends with a sentence, a sign of data, or a line unless the line only wraps
-        split = newline | has(SEPARATOR) | has(WIDE) | (has(STOP) & (after(~solid) | after(has(END)))) | (has(JOINER) & before(~solid) & after(~solid))
+        split = newline | has(SEPARATOR) | has(WIDE) | (has(STOP) & (after(~solid) | after(has(END)))) | (has(JOINER | SLASH) & before(~solid) & after(~solid))
         if len(begin) > 1:
             goes_on = (width[:-1] >= 36) & ~ended[:-1] & ~bullet[1:] & (letter | number)[begin[1:]] & (ldoc[1:] == ldoc[:-1]) & (line[begin[1:]] == line[begin[:-1]] + 1)
             for a, b in zip(end[:-1][goes_on], begin[1:][goes_on]):
                 split[a + 1 : b] &= ~newline[a + 1 : b]
         piece = np.cumsum(split) - split
         pieces = int(piece[-1]) + 1 if size else 0
-        pw, pc = per(piece[at], pieces), per(piece[full], pieces)
+        weight = np.where(han[at], HAN_WEIGHT, np.where(thai[at], THAI_WEIGHT, 1.0))
+        pw, pc = per(piece[at], pieces, weight), per(piece[full], pieces)
+        item = per(piece[begin[bullet]], pieces) > 0
+        stretch = np.cumsum(split | has(COMMA))
+        sw = per(stretch[at], int(stretch[-1]) + 1, weight)
+        sdoc = np.zeros(len(sw), dtype=np.int64)
+        sdoc[stretch] = doc
         commas, pnum, podd, phit = per(piece[has(COMMA)], pieces), per(piece[number], pieces), per(piece[at[odd]], pieces), per(piece[hits], pieces)
         pdoc = np.zeros(pieces, dtype=np.int64)
         pdoc[piece] = doc
         spread = pw >= 3 * (commas + 1)
-        flowing = (pw >= 5) & (phit >= 1) & spread & (pnum <= 0.3 * pc) & (podd <= 0.25 * pw)
+        flowing = (pw >= np.where(item, ITEM_WORDS, 5)) & (phit >= 1) & spread & (pnum <= 0.3 * pc) & (podd <= 0.25 * np.maximum(pw, 1))
         total = per(pdoc, n, pc)
         # three words that stood shortly before
         again = np.zeros(n)
@@ -197,7 +209,7 @@ class Statistics:
         return {
             "chars": chars, "words": words, "lines": lines,
             "flow": share(flowing), "long4": share(pw >= 4), "long8": share(pw >= 8), "common4": share((pw >= 4) & (phit >= 1)), "listed": share(~spread),
-            "mean_piece": ratio(words, per(pdoc, n, pw > 0)), "common_share": np.minimum(ratio(per(doc[hits], n), words), 1.0),
+            "mean_piece": ratio(words, per(pdoc, n, pw > 0)), "mean_run": ratio(per(sdoc, n, sw * sw), per(sdoc, n, sw)), "common_share": np.minimum(ratio(per(doc[hits], n), words), 1.0),
             "digit_share": ratio(per(doc[number], n), chars), "symbol_share": ratio(per(doc[has(SYMBOL)], n), chars), "odd_share": ratio(per(wdoc[odd], n), words),
             "end_punct_share": ratio(per(ldoc[ended], n), lines), "short_lines": ratio(per(ldoc[width < 25], n), lines), "distinct_lines": ratio(distinct, lines),
             "repeat_share": ratio(again, words - 2), "bullet_share": ratio(per(ldoc[bullet], n), lines), "mean_word": ratio(per(wdoc, n, length), words),
@@ -216,7 +228,9 @@ def text_statistics(docs: DataFrame, common_words: DataFrame, id_col: str = "doc
     sentence ends, signs of data and line ends (not where a line only wraps); ``long4``
     and ``long8`` are the shares of characters in pieces of so many words, ``common4`` those with a common word,
     ``listed`` those with a comma every three words, ``flow`` those of at least
-    five words, one of them common, few commas, digits and odd words, and ``mean_piece`` is the words a piece.
+    five words (ten in an item), one of them common, few commas, digits and odd words, ``mean_piece`` is the words a piece,
+    and ``mean_run`` the mean over words of the words between two commas or ends of pieces; here a Han character
+    counts 0.7 words and a Thai syllable 0.8.
     Null text gives null statistics, empty and blank text zeros. Nothing is shuffled.
     """
     listed = [w for _, w in common_word_rows(common_words, MAX_COMMON)]
@@ -282,6 +296,12 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
         a = rng.randrange(max(1, len(w) - k))
         return " ".join(w[a : a + k])
 
+    def turn(lang: str, lo: int, hi: int) -> str:
+        a = phrase(lang, lo, hi)
+        if rng.random() < 0.3:
+            a += rng.choice(["，", "、"] if lang == "zh" else [" "] if lang == "th" else [", "]) + phrase(lang, 2, 5)
+        return a[:1].upper() + a[1:] + rng.choice("。？！" if lang == "zh" else ["", " ", "?"] if lang == "th" else "..?!")
+
     def junk(lang: str, size: int) -> str:
         k = max(6, size // 22)
         names = [rng.choice([made(2), made(3), phrase(lang, 1, 1)]) for _ in range(rng.randint(2, 6))]
@@ -334,7 +354,10 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
         if kind == 0:
             return "\n".join(f"{phrase(lang, 1, 2)}: {x}" for x in s)
         if kind == 1:
-            return "\n".join(rng.choice(["“{}”", "- {}", "— {}", "“{}” " + phrase(lang, 2, 4) + "."]).format(x) for x in s)
+            if rng.random() < 0.3:
+                return "\n".join(rng.choice(["“{}”", "- {}", "— {}", "“{}” " + phrase(lang, 2, 4) + "."]).format(x) for x in s)
+            a, b = rng.choice(["“”", '""', "「」"] if lang == "zh" else ["“”", '""'])
+            return "\n".join(a + turn(lang, 3, 9) + b + rng.choice(["", glue + phrase(lang, 2, 4) + "."]) for _ in range(k + 3))
         if kind == 2:
             return flat.lower()
         if kind == 3 and lang not in ("zh", "th"):
@@ -349,10 +372,16 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
             return f"# {phrase(lang)} {rng.randint(1, 40)}\n\n{glue.join(s)}\n\n" + "\n".join(f"- {phrase(lang)}" for _ in range(rng.randint(0, 3)))
         if kind == 5:
             return glue.join(s).upper()
-        if kind == 6:  # short sentences: clauses become sentences
-            return regex.sub(r"[,，;；]", "。" if lang == "zh" else ".", glue.join(s))
+        if kind == 6:  # short sentences
+            return glue.join(turn(lang, 4, 9) for _ in range(2 * k + 2))
         if kind == 7:  # figures in sentences
-            return glue.join(x[:-1] + f" {rng.choice(['', '(', '%'])}{number()}{x[-1]}" if rng.random() < 0.6 else x for x in s)
+            out = []
+            for x in s:
+                for _ in range(rng.randint(0, 3)):
+                    a = rng.randrange(len(x)) if lang in ("zh", "th") else x.find(" ", rng.randrange(len(x)))
+                    x = x[:a] + f" {number()}{rng.choice(['', '', '%'])}" + x[a:] if a > 0 else x
+                out.append(x)
+            return glue.join(out)
         if kind == 8:  # verses
             if lang in ("zh", "th"):
                 return "\n".join(flat[i : i + (14 if lang == "zh" else 30)] for i in range(0, len(flat), 14 if lang == "zh" else 30))
@@ -360,7 +389,7 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
             return "\n".join(" ".join(w[i : i + 6]) for i in range(0, len(w), 6))
         if kind == 9:  # many commas
             w = glue.join(s).split(" ")
-            return " ".join(x + "," if rng.random() < 0.15 and x[-1:].isalpha() else x for x in w)
+            return " ".join(x + "," if rng.random() < 0.2 and x[-1:].isalpha() else x for x in w)
         return rng.choice(["\n\n", "\n", glue]).join(glue.join(s[i : i + 3]) for i in range(0, k, 3))
 
     out = []
@@ -383,6 +412,10 @@ def labelled_documents(reference: dict[str, str], n: int = LABELLED, seed: int =
 
 
 Rule = list[tuple[str, str, float]]
+#: Splits tried in vain before a list of rules ends.
+AGAIN = 8
+#: Pruning rows of class 0 that a rule must cover.
+LEAST = 5
 
 
 def induce_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES, seed: int = 3, max_rules: int = 24) -> list[Rule]:
@@ -392,11 +425,14 @@ def induce_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES
     greatest information gain, until it covers no row of the other class; the
     rest prunes its last tests while ``(p - n) / (p + n)`` does not fall. The
     rule joins the list and its rows leave; a rule wrong in more than a tenth
-    of its pruning rows (worth below 0.8) ends the list.
+    of its pruning rows (worth below 0.8), or right in fewer than ``LEAST``, is grown again from another split, and
+    ends the list when ``AGAIN`` splits in a row give no better one. Of several tests of one
+    statistic in a direction only the last, the narrowest, is kept.
     """
     rng = np.random.default_rng(seed)
     left = np.ones(len(y), dtype=bool)
     rules: list[Rule] = []
+    failed = 0
 
     def covers(rule: Rule, rows: np.ndarray) -> np.ndarray:
         m = np.ones(len(rows), dtype=bool)
@@ -405,7 +441,7 @@ def induce_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES
             m &= (c <= v) if op == "<=" else (c >= v)
         return m
 
-    while len(rules) < max_rules and (y[left] == 0).sum() >= 3:
+    while len(rules) < max_rules and failed < AGAIN and (y[left] == 0).sum() >= 3:
         idx = rng.permutation(np.flatnonzero(left))
         cut = len(idx) * 2 // 3
         gx, gy, px, py = x[idx[:cut]], y[idx[:cut]], x[idx[cut:]], y[idx[cut:]]
@@ -442,8 +478,11 @@ def induce_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES
 
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule = rule[:-1]
-        if not rule or worth(rule) < 0.8:
-            break
+        if not rule or worth(rule) < 0.8 or (py[covers(rule, px)] == 0).sum() < LEAST:
+            failed += 1
+            continue
+        failed = 0
+        rule = list({(f, op): (f, op, v) for f, op, v in rule}.values())
         rules.append(rule)
         left &= ~covers(rule, x)
     return rules
