@@ -189,6 +189,25 @@ def test_quality_on_held_out_kinds(spark):
     assert re.match(r"\d", str(got[8]))
 
 
+def test_right_text_in_other_scripts_stays():
+    fix = Repairer(REF)
+    for text in (
+        "Вчера вечером мы долго гуляли по набережной и говорили о старых книгах.", "Москва, 12 мая. Совет города одобрил новый маршрут трамвая.", "Він сказав, що її сестра приїде у п'ятницю.",
+        "Χθες το βράδυ περπατήσαμε στην παραλία.", "ذهبنا إلى السوق في الصباح الباكر.", "कल शाम हम नदी के किनारे टहलने गए थे।", "어제 저녁에 우리는 강가를 걸었다.", "昨日の夜、私たちは海岸を散歩しました。",
+    ):
+        assert fix.repair(text) == (False, text)
+        if text[0] in "ВМ":
+            for codec in ("cp1252", "cp1251", "koi8_r"):
+                bad = text.encode().decode(codec, "replace") if codec == "koi8_r" else "".join(bytes([b]).decode(codec, "ignore") or chr(b) for b in text.encode())
+                assert fix.repair(bad)[0], (codec, bad)
+
+
+@pytest.mark.parametrize("lang", ["th", "zh", "vi"])
+def test_text_read_as_latin_twice_comes_back(lang):
+    twice = REF[lang].encode().decode("latin-1").encode().decode("latin-1")
+    assert Repairer(REF).repair(twice) == (True, REF[lang])
+
+
 def test_every_chain_of_readings_is_followed():
     class Table(Repairer):
         """Readings and lengths from a table instead of codecs."""

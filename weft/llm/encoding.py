@@ -83,7 +83,7 @@ class Repairer:
         self.broken = re.compile("[\x80-\x84\x86-\x9f�]")
         self.models = {}
         for lang, text in sorted(reference.items()):
-            data = zstandard.ZstdCompressionDict(text.encode()[:110_000], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             data.precompute_compress(level=3)
             press = zstandard.ZstdCompressor(dict_data=data, write_content_size=False, write_dict_id=False, write_checksum=False)
             known = set(text) | set(text.upper()) | set(text.lower()) | set(COMMON)
@@ -178,6 +178,8 @@ class Repairer:
         """Whether the text is garbled, and the best reading of it."""
         if not self.suspicious(text):
             return False, text
+        if cyrillic(text):
+            return self.broken.search(text) is not None, text
         base = best = self.length(text)
         chosen, front, seen = text, [text], {text}
         for step in range(1, MAX_STEPS + 1):
@@ -195,6 +197,26 @@ class Repairer:
         return best < base or self.broken.search(text) is not None, chosen
 
 
+_CYRILLIC = re.compile("[\u0400-\u052f]+")
+_VOWEL = re.compile("[аеёиоуыэюяіїєўүөәъ]", re.IGNORECASE)
+
+
+def cyrillic(text: str) -> bool:
+    """Whether the characters above ASCII are words of a language written in Cyrillic, which no reference need have.
+
+    Nearly all of them are letters, in words of one case but for a capital at the start, with a
+    vowel in nearly each longer one. UTF-8 read in a Cyrillic encoding changes case and signs within words.
+    """
+    words = _CYRILLIC.findall(text)
+    letters = sum(map(len, words))
+    high = sum(1 for c in text if c > "\x7f" and c not in COMMON)
+    if letters < 8 or letters < 0.95 * high:
+        return False
+    even = sum(len(w) for w in words if w.islower() or w.istitle() or w.isupper())
+    long = [w for w in words if len(w) > 3]
+    return even >= 0.95 * letters and len(long) * 5 >= len(words) and sum(1 for w in long if _VOWEL.search(w)) >= 0.9 * len(long)
+
+
 def unseen_matters(c: str) -> bool:
     """Emoji, invisible and private characters are right in any text."""
     o = ord(c)

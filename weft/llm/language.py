@@ -34,7 +34,7 @@ MIN_WORDS, MIN_THAI, MIN_HAN, MIN_GAIN = 3, 10, 5, 3.0
 
 TOKEN = re.compile(r"[฀-๿]+|[㐀-鿿]+|[a-zA-ZÀ-ÖØ-öø-ɏ̀-ͯḀ-ỿ]+(?:['’\-][a-zA-ZÀ-ÖØ-öø-ɏ̀-ͯḀ-ỿ]+)*")
 INVISIBLE = re.compile("[\xad​-‏⁠-⁤﻿]")
-PREFIX = re.compile(r"^\s*(?:\([^()]{0,200}\)|\[[^\[\]]{0,200}\]|（[^（）]{0,200}）|【[^【】]{0,200}】)")
+PREFIX = re.compile(r"^\s*(?:\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）|【[^【】]*】)")
 
 
 def label_language(label: str | None) -> str | None:
