@@ -172,3 +172,15 @@ def test_near_texts_are_in_a_kind_the_other_may_have():
             other[i] = rng.choice(a)
         if _within("".join(text), "".join(other)):
             assert kinds(["".join(text)])[1][0] >> kinds(["".join(other)])[0][0] & 1
+
+
+def test_bundles_end_within_a_record_of_the_quota():
+    r = random.Random(4)
+    for _ in range(30):
+        sizes = sorted(r.sample(range(2, 60), 5)) + [1]
+        counts = [r.randint(1, 8) for _ in range(5)] + [r.randint(150, 300)]
+        total = sum(a * b for a, b in zip(sizes, counts))
+        quotas = [0.9 * total, 0.05 * total, 0.05 * total]
+        out = solve_bundles(sizes, counts, quotas)
+        assert [sum(o) for o in out] == counts and min(map(min, out)) >= 0
+        assert all(abs(sum(o[j] * s for o, s in zip(out, sizes)) - quotas[j]) <= 1 for j in range(3))
