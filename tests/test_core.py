@@ -243,16 +243,45 @@ def test_sequential(spark):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate([50.0, None, 20.0, 9.0, float("nan"), 1.0])], "g int, k int, v double")
     assert [r["k"] for r in sequential.trim_to_budget(df, "g", "k", "v", 60.0).orderBy("k").collect()] == [0, 3, 5]
     v = spark.createDataFrame([(1, 0, [1.0, 0.0]), (1, 1, [0.0, 2.0]), (1, 2, [0.9, 0.1]), (1, 3, None), (1, 4, [0.0, 0.0])], "g int, k int, v array<double>")
-    assert [r["cluster"] for r in sequential.leader_clusters(v, "g", "k", "v").orderBy("k").collect()] == [0, 1, 0, None, None]
-    r = spark.createDataFrame([([(0.0, 1.0), (1.5, 3.0), (5.0, 29.0), (29.1, 34.0)],), ([],), (None,)], "r array<struct<start:double,end:double>>")
-    got = [None if x[0] is None else [tuple(y) for y in x[0]] for x in r.select(sequential.merge_regions(F.col("r"))).collect()]
-    assert got == [[(0.0, 3.0), (5.0, 34.0)], [], None]
+    assert [r["cluster"] for r in sequential.leader_clusters(v, "g", "k", "v").orderBy("k").collect()] == [0, 1, 0, None, 2]  # around the mean
+    r = spark.createDataFrame([([(0.0, 1.0), (1.5, 3.0), (5.0, 29.0), (29.1, 34.0)],), ([(0.0, 100.0)],), ([(2.0, 4.0)],), ([],), (None,)], "r array<struct<start:double,end:double>>")
+    got = [None if x[0] is None else [tuple(y) for y in x[0]] for x in r.select(sequential.merge_regions(F.col("r"), F.lit(100.0))).collect()]
+    assert [[(round(a, 3), round(b, 3)) for a, b in x] if x is not None else None for x in got] == [
+        [(0.0, 3.15), (4.85, 34.15)], [(0.0, 19.5), (19.5, 39.0), (39.0, 58.5), (58.5, 78.0), (78.0, 100.0)], [], [], None,
+    ]
     t = spark.createDataFrame([("a b c", "a x c d"), ("", "a"), (None, "a"), ("a", "")], "h string, r string")
     assert [x[0] for x in t.select(sequential.word_error_rate("h", "r")).collect()] == [0.5, 1.0, None, 1.0]
     assert [x[0] for x in t.select(sequential.sequence_ratio("h", "h")).collect()][:3] == [1.0, 1.0, None]
     assert spark.range(1).select(sequential.sign_test(F.lit(5), F.lit(5))).first()[0] == 1 / 32
 
 
+def test_rules_by_hand(spark):
+    from weft.functions import text as X
+    from weft.operators import reports
+
+    def column(c, rows, schema):
+        return [r[0] for r in spark.createDataFrame(rows, schema).select(c).collect()]
+
+    texts = [(" ".join(["w"] * n), "en") for n in (0, 1, 4, 5, 6, 12, 13, 16, 30, 31)] + [("ก " * n, "th") for n in (1, 2, 10, 11, 18, 50, 90, 91)] + [(None, "en"), ("a b", None)]
+    assert column(X.length_bucket(F.col("t"), F.col("l")), texts, "t string, l string") == [
+        None, "short", "short", None, "medium", "medium", None, "long", "long", None, None, "short", "short", None, "medium", "long", "long", None, None, "short",
+    ]
+    assert column(X.is_mojibake(F.col("t")), [(t,) for t in ("Ã©", "Â°", "â€™", "â\u0080\u0099", "ðŸ˜", "a\ufffd", "à¸", "café", "Ãe")], "t string") == [True] * 6 + [False] * 3
+    assert column(X.is_numeric_text(F.col("t")), [("ราคา 5",), ("สิบบาท",), ("กี่บาท",), ("ร้านค้า",), ("เปอร์เซนต์",)], "t string") == [True, True, True, False, True]
+    assert column(X.normal_text(F.col("t")), [("Cafe\u0301!",), ("ΟΔΟΣ",), ("A-b C",), (None,)], "t string") == ["café", "οδοσ", "abc", None]
+    over = [("a" * 15, "a" * 10), ("a" * 14 + "!!!!", "a" * 10), ("abc", "..."), ("ab", "a!!!!!")]
+    assert column(X.over_read(F.col("h"), F.col("r")), over, "h string, r string") == [True, False, False, True]
+    cut = [("abcde", "abcdefghij"), ("abcdefgh", "abcdefghij"), ("abcdefghzzzzzzzz", "abcdefghijklmnop"), ("", ""), (None, "a")]
+    assert column(sequential.is_truncated("h", "r"), cut, "h string, r string") == [True, False, True, False, None]
+    item = "report_id string, case_id string, seed int, hyp string, over_read boolean, cer double, rms_dbfs double, speech_ratio double"
+    rows = [("r", "a", 1, "!!", False, 0.0, -20.0, 0.9), ("r", "a", 2, "x", True, 0.1, -20.0, 0.9), ("r", "a", 3, "x", False, 0.2, -70.0, 0.01), ("r", "a", 4, "x", False, 0.3, -70.0, 0.5)]
+    items = spark.createDataFrame(rows, item)
+    assert reports.keep_best(items).first()["seed"] == 4
+    assert reports.keep_best(items, (1, 2, 3)).first()["seed"] == 2
+    with pytest.raises(Exception, match="repeated or missing seeds"):
+        reports.keep_best(items, (1, 9)).collect()
+
+
 def plain(rows):
     def one(v):
         if v is None or (isinstance(v, float) and math.isnan(v)):

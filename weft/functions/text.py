@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from weft.functions.keys import strip_blanks
 
 #: Thai number words that make a text numeric without digits (fixed values).
-THAI_NUMBERS = "ศูนย์|หนึ่ง|สอง|สาม|สี่|ห้า|หก|เจ็ด|แปด|เก้า|สิบ|ร้อย|พัน|หมื่น|แสน|ล้าน"
+THAI_NUMBERS = "ศูนย์|หนึ่ง|สอง|สาม|สี่|ห้า|หก|เจ็ด|แปด|เก้า|สิบ|ยี่สิบ|ร้อย|พัน|หมื่น|แสน|ล้าน|บาท|เปอร์เซนต์"
 #: Traces of UTF-8 read as Latin-1 (a fixed pattern).
-MOJIBAKE = "Ã[\u0080-¿]|Â[\u0080-¿]|â€|à¸|à¹|�"
+MOJIBAKE = "Ã[\u0080-¿]|Â[\u0080-¿]|â(?:€|[\u0080-¿])|ðŸ|�"
+#: Bounds of the length buckets, in words and in Thai characters; between two buckets is none (fixed values).
+BUCKETS = {"short": (1, 4), "medium": (6, 12), "long": (16, 30)}
+THAI_BUCKETS = {"short": (2, 10), "medium": (18, 40), "long": (50, 90)}
+#: Languages whose words stand between blanks, so that word errors mean something (fixed values).
+WORD_LANGUAGES = ("en", "id", "tl", "vi")
 UNSPACED = "[฀-๿က-႟]"
 
 
+@F.pandas_udf(T.StringType())
+def _composed(c: pd.Series) -> pd.Series:
+    return c.map(lambda t: unicodedata.normalize("NFC", t.replace("Σ", "σ").lower()), na_action="ignore")
+
+
+def lower_composed(c: Column) -> Column:
+    """Lower case (a final sigma as any other) in normal form C; only texts beyond ASCII leave the JVM."""
+    plain = c.rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, F.lower(c)).otherwise(_composed(F.when(~plain, c)))
+
+
 def normal_text(c: Column, keep_blanks: bool = False) -> Column:
-    """Lower case (a final sigma as any other), letters, marks and numbers only; optionally with blanks."""
-    return F.regexp_replace(F.lower(F.replace(c, F.lit("Σ"), F.lit("σ"))), r"[^\p{L}\p{N}\p{M}\s]" if keep_blanks else r"[^\p{L}\p{N}\p{M}]", "")
+    """Lower case in normal form C, letters, marks and numbers only; optionally with blanks."""
+    return F.regexp_replace(lower_composed(c), r"[^\p{L}\p{N}\p{M}\s]" if keep_blanks else r"[^\p{L}\p{N}\p{M}]", "")
 
 
 def tokens(c: Column) -> Column:
@@ -56,18 +78,26 @@ def is_mojibake(c: Column) -> Column:
 
 
 def length_bucket(text: Column, lang: Column) -> Column:
-    """Short, medium or long, by words, or by characters in Thai."""
-    n = F.when(lang == "th", F.length(F.regexp_replace(text, r"\s", ""))).otherwise(F.size(tokens(text)))
-    small, large = F.when(lang == "th", 20).otherwise(5), F.when(lang == "th", 60).otherwise(15)
-    return F.when(n <= small, "short").when(n <= large, "medium").otherwise("long")
+    """Short, medium or long by words between blanks, in Thai by characters that are no blanks; null in the gaps."""
+    thai = F.coalesce(lang == "th", F.lit(False))
+    bare = strip_blanks(text)
+    n = F.when(thai, F.length(F.regexp_replace(text, r"(?U)\s", ""))).when(bare == "", 0).otherwise(F.size(F.split(bare, r"(?U)\s+")))
+    out = F.lit(None).cast("string")
+    for name in BUCKETS:
+        (lo, hi), (tlo, thi) = BUCKETS[name], THAI_BUCKETS[name]
+        out = F.when(F.when(thai, n.between(tlo, thi)).otherwise(n.between(lo, hi)), name).otherwise(out)
+    return out
 
 
 def character_error_rate(hyp: Column, ref: Column) -> Column:
+    """Edits a character of the reference between texts as they are; normalise both first to compare what was said."""
     return F.levenshtein(hyp, ref) / F.greatest(F.length(ref), F.lit(1))
 
 
 def over_read(hyp: Column, ref: Column) -> Column:
-    return F.length(hyp) > F.lit(1.4) * F.length(ref)
+    """Whether the hypothesis has over 1.4 times the letters of a reference that has some."""
+    h, r = F.length(normal_text(hyp)), F.length(normal_text(ref))
+    return (r > 0) & (h > F.lit(1.4) * r)
 
 
 def hash_order(*parts: Column | str) -> Column:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.functions.text import hash_integer
+from weft.functions.text import hash_integer, normal_text
 
 
 def metric(c: str) -> Column:
@@ -101,12 +101,33 @@ def hash_bootstrap(values: DataFrame, group: str | list[str], value: str, rounds
     return q.select(*group, "cases", F.round(F.col("q")[0], 6).alias("low"), F.round(F.col("q")[1], 6).alias("high"))
 
 
-def keep_best(items: DataFrame) -> DataFrame:
-    """Best seed of each case: not empty, not over-read, lowest CER, smallest seed."""
-    rank = F.struct((F.length(F.trim(F.coalesce("hyp", F.lit("")))) == 0).alias("e"), F.coalesce("over_read", F.lit(False)).alias("o"), F.coalesce(metric("cer"), F.lit(1e9)).alias("c"), F.col("seed").alias("s"))
-    return items.groupBy("report_id", "case_id").agg(F.min(rank).alias("k")).select("report_id", "case_id", F.col("k.s").alias("seed"), F.when(F.col("k.c") < 1e9, F.round("k.c", 6)).alias("cer"))
+def near_silence(items: DataFrame) -> Column:
+    """Level under -60 dBFS and hardly any speech; false where the report has no such measures."""
+    if "rms_dbfs" not in items.columns:
+        return F.lit(False)
+    speech = F.coalesce("speech_ratio", F.lit(0.0)) if "speech_ratio" in items.columns else F.lit(0.0)
+    return F.coalesce(F.col("rms_dbfs") < -60, F.lit(False)) & (speech < 0.05)
 
 
+def keep_best(items: DataFrame, seeds: tuple[int, ...] | None = None) -> DataFrame:
+    """Best seed of each case: with letters, not near silence, not over-read, lowest CER, smallest seed.
+
+    With ``seeds``, only these count, and a case that lacks one or has one
+    twice is an error when its row is read. Missing CER ranks last.
+    """
+    rank = F.struct(
+        (F.coalesce(F.length(normal_text(F.col("hyp"))), F.lit(0)) == 0).alias("e"),
+        near_silence(items).alias("q"),
+        F.coalesce("over_read", F.lit(False)).alias("o"),
+        F.coalesce(metric("cer"), F.lit(1e9)).alias("c"),
+        F.col("seed").alias("s"),
+    )
+    rows = items if seeds is None else items.where(F.col("seed").isin(*seeds))
+    best = rows.select("report_id", "case_id", "seed", rank.alias("k")).groupBy("report_id", "case_id").agg(F.min("k").alias("k"), F.count("*").alias("n"), F.count_distinct("seed").alias("d"))
+    if seeds is not None:
+        wrong = F.raise_error(F.concat(F.lit("repeated or missing seeds of case "), F.col("case_id")))
+        best = best.withColumn("k", F.when((F.col("n") == len(set(seeds))) & (F.col("d") == F.col("n")), F.col("k")).otherwise(wrong))
+    return best.select("report_id", "case_id", F.col("k.s").alias("seed"), F.when(F.col("k.c") < 1e9, F.round("k.c", 6)).alias("cer"))
 
 
 def sign_p(k: int, n: int) -> float:

@@ -44,7 +44,11 @@ def ok_clips(s: SparkSession, d: str) -> DataFrame:
 # --- text -------------------------------------------------------------------
 
 
-@query(r"SELECT clip_id, regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}]', '', 'g') AS norm FROM clips WHERE text IS NOT NULL")
+def sql_norm(c: str) -> str:
+    return rf"regexp_replace(nfc_normalize(lower({c})), '[^\p{{L}}\p{{N}}\p{{M}}]', '', 'g')"
+
+
+@query(f"SELECT clip_id, {sql_norm('text')} AS norm FROM clips WHERE text IS NOT NULL")
 def text_norm(s, d):
     return table(s, d, "clips").where("text is not null").select("clip_id", X.normal_text(F.col("text")).alias("norm"))
 
@@ -75,7 +79,7 @@ def numeric_flag(s, d):
     return table(s, d, "report_items").select("case_id", "seed", "report_id", X.is_numeric_text(F.col("text"), F.col("numeric")).alias("numeric_text"))
 
 
-@query("SELECT lang, count(*) AS clips FROM clips WHERE regexp_matches(text, 'Ã[\u0080-¿]|Â[\u0080-¿]|â€|à¸|à¹|�') GROUP BY lang")
+@query("SELECT lang, count(*) AS clips FROM clips WHERE regexp_matches(text, 'Ã[\u0080-¿]|Â[\u0080-¿]|â(?:€|[\u0080-¿])|ðŸ|�') GROUP BY lang")
 def mojibake_flag(s, d):
     return table(s, d, "clips").where(X.is_mojibake(F.col("text"))).groupBy("lang").agg(F.count("*").alias("clips"))
 
@@ -87,13 +91,14 @@ def control_prefix(s, d):
     return c.where("bare <> text or control_en is not null").select("clip_id", "bare", X.with_prefix(F.col("control_en"), F.col("bare")).alias("prefixed"))
 
 
-@query(r"""WITH r AS (SELECT report_id, lang, CASE WHEN lang = 'th' THEN length(regexp_replace(text, '\s', '', 'g')) ELSE len(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+(?:[''’-][\p{L}\p{M}\p{N}]+)*')) END AS n FROM report_items)
-SELECT lang, CASE WHEN n <= (CASE WHEN lang = 'th' THEN 20 ELSE 5 END) THEN 'short' WHEN n <= (CASE WHEN lang = 'th' THEN 60 ELSE 15 END) THEN 'medium' ELSE 'long' END AS bucket, count(*) AS items FROM r GROUP BY 1, 2""")
+@query(r"""WITH r AS (SELECT lang, coalesce(lang = 'th', false) AS th, CASE WHEN lang = 'th' THEN length(regexp_replace(text, '\s', '', 'g')) ELSE len(regexp_extract_all(text, '\S+')) END AS n FROM report_items)
+SELECT lang, CASE WHEN th THEN CASE WHEN n BETWEEN 2 AND 10 THEN 'short' WHEN n BETWEEN 18 AND 40 THEN 'medium' WHEN n BETWEEN 50 AND 90 THEN 'long' END
+ ELSE CASE WHEN n BETWEEN 1 AND 4 THEN 'short' WHEN n BETWEEN 6 AND 12 THEN 'medium' WHEN n BETWEEN 16 AND 30 THEN 'long' END END AS bucket, count(*) AS items FROM r GROUP BY 1, 2""")
 def length_buckets(s, d):
     return table(s, d, "report_items").select("lang", X.length_bucket(F.col("text"), F.col("lang")).alias("bucket")).groupBy("lang", "bucket").agg(F.count("*").alias("items"))
 
 
-@query("SELECT case_id, seed, report_id, length(hyp) > 1.4 * length(text) AS long_hyp FROM report_items WHERE hyp IS NOT NULL AND text IS NOT NULL")
+@query(f"SELECT case_id, seed, report_id, length({sql_norm('text')}) > 0 AND length({sql_norm('hyp')}) > 1.4 * length({sql_norm('text')}) AS long_hyp FROM report_items WHERE hyp IS NOT NULL AND text IS NOT NULL")
 def over_read_flag(s, d):
     return table(s, d, "report_items").where("hyp is not null and text is not null").select("case_id", "seed", "report_id", X.over_read(F.col("hyp"), F.col("text")).alias("long_hyp"))
 
@@ -164,8 +169,8 @@ def exact_text_copies(s, d):
 
 @query()
 def near_text_leakage(s, d):
-    c = table(s, d, "clips").where("split = 'train' and text is not null").select(F.col("clip_id").alias("id"), F.lit("tl").alias("lang"), X.normal_text(X.without_prefix(F.col("text"))).alias("norm"))
-    h = table(s, d, "tl_short_holdout_20260918").where("text is not null").select(F.col("source_sentence_id").alias("item"), F.lit("tl").alias("lang"), X.normal_text(F.col("text")).alias("norm")).distinct()
+    c = table(s, d, "clips").where("split = 'train' and text is not null").select(F.col("clip_id").alias("id"), F.lower(F.trim("lang")).alias("lang"), X.normal_text(X.without_prefix(F.col("text"))).alias("norm"))
+    h = table(s, d, "tl_short_holdout_20260918").where("text is not null").select(F.col("source_sentence_id").alias("item"), F.lower(F.trim("lang")).alias("lang"), X.normal_text(F.col("text")).alias("norm")).distinct()
     return dedupe.near_text(c, h)
 
 
@@ -425,7 +430,7 @@ def bootstrap_ci_reports(s, d):
     return reports.hash_bootstrap(per, ["report_id", "lang"], "d")
 
 
-@query(f"""WITH k AS (SELECT report_id, case_id, min((length(trim(coalesce(hyp, ''))) = 0, coalesce(over_read, false), coalesce({NN('cer')}, 1e9), seed)) AS k FROM report_items GROUP BY 1, 2)
+@query(f"""WITH k AS (SELECT report_id, case_id, min((coalesce(length({sql_norm('hyp')}), 0) = 0, coalesce(over_read, false), coalesce({NN('cer')}, 1e9), seed)) AS k FROM report_items GROUP BY 1, 2)
 SELECT report_id, case_id, k[4] AS seed, CASE WHEN k[3] < 1e9 THEN round(k[3], 6) END AS cer FROM k""")
 def keep_best(s, d):
     return reports.keep_best(table(s, d, "report_items"))
@@ -483,13 +488,20 @@ def nation_revenue(s, d):
 @query()
 def word_errors(s, d):
     r = table(s, d, "report_items").where("hyp is not null and text is not null")
-    return r.select("report_id", "case_id", "seed", F.round(sequential.word_error_rate(F.lower("hyp"), F.lower("text")), 6).alias("word_errors"), F.round(sequential.sequence_ratio("hyp", "text"), 6).alias("similarity"))
+    words = F.when(F.col("lang").isin(*X.WORD_LANGUAGES), sequential.word_error_rate(X.normal_text(F.col("hyp"), True), X.normal_text(F.col("text"), True)))
+    return r.select("report_id", "case_id", "seed", F.round(words, 6).alias("word_errors"), F.round(sequential.sequence_ratio("hyp", "text"), 6).alias("similarity"))
 
 
-@query("SELECT report_id, case_id, seed, round(levenshtein(hyp, text) / greatest(1, length(text)), 6) AS char_errors FROM report_items WHERE hyp IS NOT NULL AND text IS NOT NULL AND regexp_full_match(hyp || text, '[ -~]*')")
-def char_errors(s, d):
-    r = table(s, d, "report_items").where(F.concat("hyp", "text").rlike("^[ -~]*$"))  # the SQL distance counts bytes
-    return r.select("report_id", "case_id", "seed", F.round(X.character_error_rate(F.col("hyp"), F.col("text")), 6).alias("char_errors"))
+@query()
+def truncation_flag(s, d):
+    r = table(s, d, "report_items").where("hyp is not null and text is not null")
+    return r.select("report_id", "case_id", "seed", sequential.is_truncated(X.normal_text(F.col("hyp")), X.normal_text(F.col("text"))).alias("truncated"))
+
+
+@query()
+def char_errors(s, d):  # the SQL distance counts bytes, so there is no twin
+    r = table(s, d, "report_items").where("hyp is not null and text is not null")
+    return r.select("report_id", "case_id", "seed", F.round(X.character_error_rate(X.normal_text(F.col("hyp")), X.normal_text(F.col("text"))), 6).alias("char_errors"))
 
 
 @query()
@@ -537,10 +549,10 @@ def source_catalog(s, d):
     )
 
 
-@query("SELECT report_id, case_id, seed FROM report_items QUALIFY row_number() OVER (ORDER BY CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(case_id AS BIGINT) NULLS LAST, case_id, seed, report_id, scored_at, hyp NULLS LAST) <= 100")
+@query("SELECT report_id, case_id, seed FROM report_items ORDER BY CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(case_id AS BIGINT) NULLS LAST, case_id, seed, report_id, scored_at, hyp NULLS LAST")
 def case_order(s, d):
     r = table(s, d, "report_items").withColumn("digits", F.col("case_id").rlike("^[0-9]+$"))
-    return r.orderBy(F.desc("digits"), F.asc_nulls_last(F.col("case_id").try_cast("bigint")), "case_id", "seed", "report_id", "scored_at", F.asc_nulls_last("hyp")).limit(100).select("report_id", "case_id", "seed")
+    return r.orderBy(F.desc("digits"), F.asc_nulls_last(F.col("case_id").try_cast("bigint")), "case_id", "seed", "report_id", "scored_at", F.asc_nulls_last("hyp")).select("report_id", "case_id", "seed")
 
 
 @query("""SELECT report_id, case_id, seed, row_number() OVER (ORDER BY CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN 0 ELSE 1 END, TRY_CAST(CASE WHEN regexp_full_match(case_id, '[0-9]+') THEN case_id END AS BIGINT) NULLS LAST,
