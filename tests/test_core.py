@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weft import queries as Q
+from weft import report_queries  # noqa: F401
 from weft.functions import audio
 from weft.functions.keys import double_order_key, identity_key
 from weft.operators import dedupe, identity, reports, rules, sampling, sequential
@@ -282,6 +283,56 @@ def test_rules_by_hand(spark):
         reports.keep_best(items, (1, 9)).collect()
 
 
+def test_screening_by_hand(spark):
+    from weft.operators import screening as S
+
+    rows = [
+        ("(calm) two words", "calm", "en", 6.0, False), ("(calm)one two", "calm", "en", 6.0, False), ("one two three four five", "", "en", 6.0, False), ("one", "", "en", 4.9, False),
+        ("one", "", "th", 9.0, False), ("หนึ่ง one", "", "en", 9.0, False), ("one", "", "en", 9.0, True), ("!!", "", "en", 9.0, False), ("one", "", "en", float("nan"), False), (None, "", "en", 9.0, False), ("don't", "", "tl", 5.0, None),
+    ]
+    df = spark.createDataFrame(rows, "t string, c string, l string, d double, r boolean")
+    got = [x[0] for x in df.select(S.slow_speech(F.col("t"), F.col("c"), F.col("l"), F.col("d"), F.col("r"), F.lit('a"b'))).collect()]
+    assert [None if x is None else (x["words"], x["rate"]) for x in got] == [(2, 0.333), (2, 0.333), None, None, None, None, None, None, None, None, (1, 0.2)]
+    import hashlib
+
+    assert got[1]["review_key"] == hashlib.sha256(json.dumps(['a"b', "one two", "en", 6.0], ensure_ascii=False).encode()).hexdigest()
+
+    issues = ["Ã bad text here", "a (b) text here", "tab\tand text", "room 5 is free", "too short", "x" * 301, "a plain long text", None]
+    df = spark.createDataFrame([(t,) for t in issues], "t string")
+    assert [x[0] for x in df.select(S.intake_issue(F.col("t"))).collect()] == ["encoding_suspect", "body_control_like_punctuation", "control_or_unassigned_unicode", "numeric", "length", "length", None, None]
+
+    df = spark.createDataFrame([("no no no no no no no no", "yes", "en", 9.0), ("no " * 8, "no " * 8, "en", 0.1), ("a" * 50, "b", "th", 1.0), ("", "b", "en", 1.0)], "h string, r string, l string, d double")
+    assert [x[0] for x in df.select(S.transcript_patterns(F.col("h"), F.col("r"), F.col("l"), F.col("d"))).collect()] == [["asr_repetition_low_diversity"], [], ["asr_character_rate_gt_40"], []]
+
+    seg = "s array<struct<start:double,end:double,avg_logprob:double,no_speech_prob:double>>, t string, d string"
+    df = spark.createDataFrame([([(0.0, 3.0, -0.5, 0.1), (3.0, 4.0, -4.5, 0.1)], "x", "id"), ([(0.0, 1.0, -0.2, 0.9)], "x", "id-ID"), ([], "x", "id"), ([], "", "id"), ([], "x", "ms"), ([(0.0, 1.0, -0.2, 0.1)], "x", None)], seg)
+    got = [x[0] for x in df.select(S.transcript_rejection(F.col("s"), F.col("t"), F.col("d"), ["id"], -1.0, 0.6)).collect()]
+    assert got == ["unintelligible:logprob=-1.50", "unintelligible:no_speech=0.90", "", "empty_text_or_language:id", "empty_text_or_language:ms", ""]
+
+    df = spark.createDataFrame([("A b!", "a b", None, True), ("a", "b", "A.", False), ("a", None, None, True)], "t string, s string, w string, q boolean")
+    assert [x[0] for x in df.select(S.label_reasons(F.col("t"), F.col("s"), F.col("w"), F.col("q"))).collect()] == [[], ["granary_not_high_quality"], ["granary_transcript_disagreement"]]
+    assert spark.range(1).select(S.padding_seconds(F.lit(10), 4, 2), S.padding_seconds(F.lit(8), 4, 2), S.padding_seconds(F.lit(0), 4, 2)).first()[:] == (1.0, 0.0, None)
+    assert spark.range(1).select(*[S.inference_steps(F.lit(x)) for x in (1.9, 2.0, 5.0)]).first()[:] == (28, 24, 22)
+
+
+def test_report_guards(spark):
+    from weft.operators import gates
+
+    item = "case_id string, seed int, shard string, model string, lang string, cer double"
+    one = spark.createDataFrame([("a", 1, "x", "m", "en", 0.1), ("b", 1, "y", "m", "en", 0.2)], item)
+    assert gates.merge_reports(one, ["model"]).count() == 2 and gates.merge_reports(one.where("false"), ["model"]).count() == 0
+    with pytest.raises(Exception, match="shards differ in lang"):
+        gates.merge_reports(one.union(spark.createDataFrame([("c", 1, "z", "m", "th", 0.2)], item)), ["model", "lang"]).collect()
+    with pytest.raises(Exception, match="repeated item a/1"):
+        gates.merge_reports(one.union(one.limit(1)), ["model"]).collect()
+    assert gates.strict_pairs(one, one, ["lang"]).count() == 2
+    for other, why in ((one.where("case_id = 'a'"), "only in one report"), (one.union(one.limit(1)), "repeated"), (one.withColumn("lang", F.lit("th")), "other conditions")):
+        with pytest.raises(Exception, match=why):
+            gates.strict_pairs(one, other, ["lang"]).collect()
+    drop = spark.createDataFrame([(-0.2, -0.1), (-0.2, 0.1), (-0.01, -0.005), (None, None)], "p double, h double")
+    assert [r[0] for r in drop.select(gates.significant_drop(F.col("p"), F.col("h"), 0.05)).collect()] == [True, False, False, False]
+
+
 def plain(rows):
     def one(v):
         if v is None or (isinstance(v, float) and math.isnan(v)):
