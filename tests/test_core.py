@@ -169,7 +169,7 @@ def test_audio_kernels(spark):
     assert abs(m["peak"] - 0.5) < 1e-3 and m["clip_run_ms"] == 0 and 400 < m["rolloff_hz"] < 520
     assert len(audio.cap_tail(padded.astype(np.float32), 16000)) / 16000 < 1.72
     assert audio.longest_run(np.array([1, 1, 0, 1, 1, 1], bool)) == 3 and audio.longest_run(np.zeros(3, bool)) == 0
-    assert np.abs(audio.normalise_peak(tone * 4)).max() <= 0.9701
+    assert np.abs(audio.normalise_peak(tone * 4)).max() == pytest.approx(0.95) and np.abs(audio.normalise_peak(tone / 9)).max() == pytest.approx(0.95)
     files = spark.createDataFrame([("a.wav", bytearray(wav(tone))), ("b.wav", bytearray(b"junk")), ("c.wav", bytearray(wav(tone)))], "path string, content binary")
     out = {r["path"]: r for r in audio.measure_files(files).collect()}
     assert out["b.wav"]["error"] and out["a.wav"]["error"] is None and out["a.wav"]["pcm_sha256"] == out["c.wav"]["pcm_sha256"]
@@ -256,6 +256,23 @@ def test_sequential(spark):
     assert spark.range(1).select(sequential.sign_test(F.lit(5), F.lit(5))).first()[0] == 1 / 32
 
 
+def test_audio_measures_by_hand():
+    rate = 16000
+    t = np.arange(rate) / rate
+    tone, quiet = 0.5 * np.sin(2 * np.pi * 1000 * t), np.zeros(rate // 2)
+    x = np.r_[quiet, tone, quiet]
+    head, tail = audio.edge_silence(x, rate)
+    assert head == pytest.approx(0.48, abs=0.021) and tail == pytest.approx(0.48, abs=0.021)
+    assert audio.speech_ratio(x, rate) == pytest.approx(0.5, abs=0.03) and audio.speech_ratio(tone, rate) == 1.0
+    assert audio.edge_silence(np.zeros(rate), rate) == (None, None) and audio.edge_silence(tone[:100], rate) == (None, None)
+    assert audio.floor_separation(np.r_[tone, tone * 0.01], rate) == pytest.approx(40, abs=0.2) and audio.floor_separation(tone[: rate // 5], rate) is None
+    assert audio.rolloff(tone, rate) == pytest.approx(1000, abs=51) and audio.rolloff(np.zeros(rate), rate) is None and audio.rolloff(tone[:900], rate) is None
+    high = 0.5 * np.sin(2 * np.pi * 4000 * t)
+    assert audio.band_share(tone, rate) < 0.01 and audio.band_share(high, rate) > 0.99 and audio.band_share(tone + high, rate) == pytest.approx(0.5, abs=0.01)
+    assert len(audio.cap_tail(x, rate)) == pytest.approx(1.65 * rate, abs=0.041 * rate) and audio.cap_tail(np.zeros(rate), rate).shape == (rate,)
+    assert (audio.normalise_peak(np.zeros(5)) == 0).all()
+
+
 def test_rules_by_hand(spark):
     from weft.functions import text as X
     from weft.operators import reports
