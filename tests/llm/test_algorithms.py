@@ -184,3 +184,10 @@ def test_bundles_end_within_a_record_of_the_quota():
         out = solve_bundles(sizes, counts, quotas)
         assert [sum(o) for o in out] == counts and min(map(min, out)) >= 0
         assert all(abs(sum(o[j] * s for o, s in zip(out, sizes)) - quotas[j]) <= 1 for j in range(3))
+
+
+def test_share_cap(spark):
+    rows = [dict(speaker="a", dnsmos_overall=float(i)) for i in range(8)] + [dict(speaker="b", dnsmos_overall=1.0), dict(speaker=None, dnsmos_overall=1.0)]
+    assert [r[0] for r in beyond_cap(clips(spark, rows), share=0.3).orderBy("clip_id").collect()] == [1, 2, 3, 4, 5]
+    assert beyond_cap(clips(spark, rows), cap=7, share=0.9).count() == 1 and beyond_cap(clips(spark, rows), share=0.0).count() == 7
+    assert beyond_cap(clips(spark, []), share=0.5).count() == 0

@@ -16,9 +16,13 @@ def beyond_cap(
     label: str = "emotion",
     score: str = "dnsmos_overall",
     record_id: str = "clip_id",
+    share: float | None = None,
 ) -> DataFrame:
     """Ids of the records beyond the cap of their contributor and label.
 
+    With ``share``, the cap is that part of all records (rounded down, but 1 at
+    least) or ``cap``, whichever is smaller.
+
     Higher scores stay first, null and NaN scores last, then smaller ids.
     Records without contributor are never capped; missing labels form one
     group. Score and id are encoded as order-preserving integers, the cut-off
@@ -33,6 +37,8 @@ def beyond_cap(
         F.coalesce(identity_key(F.col(label)), F.lit("")).alias("what"),
         double_order_key(F.col(score).cast("double"), descending=True).alias("hi"),
     ).where("who is not null")
+    if share is not None:
+        cap = min(cap, max(1, int(share * clips.count())))
     cuts = radix_cutoffs(rows.withColumn("q", F.lit(cap).cast("bigint")), ["who", "what"], "q", "hi", "id")
     return (
         rows.join(cuts, ["who", "what"])
