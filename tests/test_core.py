@@ -300,6 +300,61 @@ def test_rules_by_hand(spark):
         reports.keep_best(items, (1, 9)).collect()
 
 
+def test_split_records_against_the_plain_rule(spark):
+    import hashlib
+    from collections import Counter
+
+    r = random.Random(8)
+    schema = "clip_id long, audio string, origin_audio string, speaker string, speaker_verified boolean, source_id string, session string, lang string, reference_only boolean"
+    rows = [(i, f"a{i}", r.choice([None, f"o{i // 2}"]), r.choice([None, f"n:s{r.randrange(40)}"]), r.choice([True, False, None]), "x", r.choice([None, "unknown", f"e{i // 3}"]), r.choice(["tl", "tl", "id", None]), r.choice([False, False, None, True])) for i in range(300)]
+
+    def split(hold):
+        parent = list(range(len(rows)))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        owner = {}
+        for i, (_, audio, origin, who, sure, source, session, _, _) in enumerate(rows):
+            for key in [("o", origin or audio)] + [("s", who)] * bool(who and sure) + [("e", source, session)] * (session not in (None, "unknown")):
+                a, b = sorted((root(i), root(owner.setdefault(key, i))))
+                parent[b] = a
+        groups = {}
+        for i, x in enumerate(rows):
+            groups.setdefault(root(i), []).append(x)
+        total = Counter(x[7] or "" for x in rows if not x[8])
+        quota = {k: min(200, max(1, min(16, n // 5), round(n * 0.02))) for k, n in total.items()}
+
+        def lang(g):
+            c = Counter(x[7] or "" for x in g if not x[8])
+            return max(sorted(c), key=c.get) if c else ""
+
+        val, filled = set(), Counter()
+        pinned = [k for k, g in groups.items() if any(x[6] in hold for x in g)]
+        for k in pinned:
+            val.add(k)
+            filled[lang(groups[k])] += sum(not x[8] for x in groups[k])
+        rest = sorted((k for k in groups if k not in val), key=lambda k: (hashlib.sha256(f"split:{k}".encode()).hexdigest(), k))
+        left = Counter(lang(groups[k]) for k in rest if any(not x[8] for x in groups[k]))
+        for k in rest:
+            n, name = sum(not x[8] for x in groups[k]), lang(groups[k])
+            if n and filled[name] < quota.get(name, 0) and left[name] > 1:
+                val.add(k)
+                filled[name] += n
+            left[name] -= n > 0
+        return {x[0]: (k, "val" if k in val else "train") for k, g in groups.items() for x in g}
+
+    df = spark.createDataFrame(rows, schema)
+    for hold in ((), ("e4", "e7")):
+        assert {x["clip_id"]: (x["group_id"], x["split"]) for x in identity.split_records(df, hold).collect()} == split(hold)
+    one = df.where("clip_id = 0")
+    assert [x["split"] for x in identity.split_records(one).collect()] == ["train"] and identity.split_records(df.where("false")).count() == 0
+    with pytest.raises(ValueError, match="held sessions"):
+        identity.split_records(df.where("session like 'e%'"), tuple(f"e{i}" for i in range(100)))
+
+
 def test_screening_by_hand(spark):
     from weft.operators import screening as S
 

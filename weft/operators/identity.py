@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from weft.functions.keys import identity_key
 from weft.functions.text import hash_order
+from weft.operators.graph import connected_components
+from weft.operators.sampling import top_k
+from weft.session import materialise
 
 
 def memberships(rows: DataFrame) -> DataFrame:
@@ -73,3 +76,47 @@ def quota_split(groups: DataFrame, ratio: float = 0.02, most: int = 200, least:
     free = free.withColumn("before", F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("after", F.lead("group_id").over(w))
     val = (F.col("held") + F.col("before") < F.col("quota")) & F.col("after").isNotNull()
     return free.select("group_id", F.when(val, "val").otherwise("train").alias("split")).unionByName(g.where("pinned").select("group_id", F.lit("val").alias("split")))
+
+
+def components(rows: DataFrame) -> DataFrame:
+    """``id, group_id`` of every row: rows that share an origin, a verified speaker or a session of a source, carried on.
+
+    ``group_id`` is the smallest id of the group. Keys are first reduced to the
+    smallest id that has them, so a hot key is one hub of an edge table.
+    """
+    m = memberships(rows).where("kind <> 'audio'")
+    first = m.groupBy("kind", "key").agg(F.min("id").alias("first"))
+    linked = connected_components(m.join(first, ["kind", "key"]).select(F.col("id").alias("a"), F.col("first").alias("b")))
+    ids = rows.select(F.col("clip_id").alias("id"))
+    return ids.join(linked, ids["id"] == linked["node"], "left").select("id", F.coalesce("root", "id").alias("group_id"))
+
+
+def split_records(rows: DataFrame, hold: tuple[str, ...] = (), ratio: float = 0.02, most: int = 200, least: int = 16) -> DataFrame:
+    """``clip_id, group_id, lang, split``: train and val without a group in both.
+
+    Groups as in ``components``; a group's language is that of most of its rows,
+    the smaller name on a tie. Groups with a session in ``hold`` are val. Each
+    language has a quota of rows, as in ``quota_split``; other groups go to val in hash
+    order while it is not reached, but the last one of a language stays in train.
+    Rows that are only references fill no quota and have no say in the language; groups of only such rows
+    are train. Null languages count as ``""``. With one group at most, or a ratio of zero, all is train; then, and
+    where nothing else is left for train, held groups are an error. At most ``most`` groups a language are ordered.
+    """
+    tied = materialise(components(rows).join(rows.select(F.col("clip_id").alias("id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("reference_only", F.lit(False)).alias("ref"), F.coalesce(F.col("session").isin(*hold), F.lit(False)).alias("pin")), "id"), "split-rows")
+    per = tied.groupBy("group_id", "lang").agg(F.count_if(~F.col("ref")).alias("k"), F.max("pin").alias("pin"))
+    names = F.min_by(F.when(F.col("k") > 0, F.col("lang")), F.when(F.col("k") > 0, F.struct((-F.col("k")).alias("k"), F.col("lang").alias("l"))))
+    groups = materialise(per.groupBy("group_id").agg(F.coalesce(names, F.lit("")).alias("lang"), F.sum("k").alias("n"), F.max("pin").alias("pinned")), "split-groups")
+    total = tied.groupBy("lang").agg(F.count_if(~F.col("ref")).alias("total"))
+    quota = F.least(F.lit(most), F.greatest(F.lit(1), F.least(F.lit(least), F.floor(F.col("total") / 5)), F.round(F.col("total") * ratio)))
+    state = groups.agg(F.count("*").alias("all"), F.count_if("pinned").alias("pins"), F.count_if(~F.col("pinned")).alias("free")).first()
+    if ratio <= 0 or state["all"] < 2 or not state["free"]:
+        if state["pins"]:
+            raise ValueError("held sessions leave no group to train on, or nothing may be held out")
+        return tied.select(F.col("id").alias("clip_id"), "group_id", "lang", F.lit("train").alias("split"))
+    langs = groups.groupBy("lang").agg(F.sum(F.when(F.col("pinned"), F.col("n")).otherwise(0)).alias("held"), F.count_if(~F.col("pinned") & (F.col("n") > 0)).alias("groups")).join(total.select("lang", quota.alias("quota")), "lang", "left")
+    free = groups.where("not pinned and n > 0").select("group_id", "lang", "n", hash_order("split", F.col("group_id")).alias("h"))
+    w = W.partitionBy("lang").orderBy("h", "group_id")  # over `most` groups a language
+    ranked = top_k(free, ["lang"], [F.col("h"), F.col("group_id")], most).withColumn("rank", F.row_number().over(w)).withColumn("before", F.coalesce(F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    val = ranked.join(langs, "lang").where((F.col("held") + F.col("before") < F.coalesce("quota", F.lit(0))) & (F.col("rank") < F.col("groups"))).select("group_id")
+    val = val.unionByName(groups.where("pinned").select("group_id")).withColumn("split", F.lit("val"))
+    return tied.join(val, "group_id", "left").select(F.col("id").alias("clip_id"), "group_id", "lang", F.coalesce("split", F.lit("train")).alias("split"))

@@ -200,12 +200,24 @@ def suspicion_propagation(s, d):
     return identity.propagate(c, c.where(F.col("text").contains("�")).select(F.col("clip_id").alias("id"))).select("id", F.array_join("through", ",").alias("through"))
 
 
-@query()
+COMPONENTS = f"""WITH RECURSIVE m AS (SELECT clip_id AS id, 'o' || coalesce(origin_audio, audio) AS key FROM clips UNION ALL SELECT clip_id, 's' || {sql_key('speaker')} FROM clips WHERE speaker_verified
+ UNION ALL SELECT clip_id, 'e' || source_id || '|' || {sql_key('session')} FROM clips), f AS (SELECT id, min(id) OVER (PARTITION BY key) AS first FROM m WHERE key IS NOT NULL),
+e AS (SELECT DISTINCT id AS a, first AS b FROM f WHERE id <> first UNION SELECT first, id FROM f WHERE id <> first),
+cc(id, root) USING KEY (id) AS (SELECT clip_id, clip_id FROM clips UNION SELECT e.b, min(cc.root) FROM cc JOIN e ON e.a = cc.id JOIN recurring.cc AS old ON old.id = e.b WHERE cc.root < old.root GROUP BY e.b)"""
+
+
+@query(COMPONENTS + " SELECT root, count(*) AS clips FROM cc GROUP BY root")
 def identity_components(s, d):
-    m = identity.memberships(table(s, d, "clips")).where("kind <> 'audio'")
-    firsts = m.groupBy("kind", "key").agg(F.min("id").alias("first"))
-    edges = m.join(firsts, ["kind", "key"]).select(F.col("id").alias("a"), F.col("first").alias("b"))
-    return graph.connected_components(edges).groupBy("root").agg(F.count("*").alias("clips"))
+    return identity.components(table(s, d, "clips")).groupBy(F.col("group_id").alias("root")).agg(F.count("*").alias("clips"))
+
+
+@query(COMPONENTS + """, r AS (SELECT c.clip_id, root, coalesce(lang, '') AS lang, coalesce(reference_only, false) AS ref FROM clips c JOIN cc ON cc.id = c.clip_id),
+l AS (SELECT root, lang, count(*) AS k FROM r WHERE NOT ref GROUP BY ALL), g AS (SELECT root, lang, sum(k) OVER (PARTITION BY root) AS n FROM l QUALIFY row_number() OVER (PARTITION BY root ORDER BY k DESC, lang) = 1),
+q AS (SELECT lang, least(200, greatest(1, least(16, floor(count(*) / 5)), round(count(*) * 0.02))) AS quota FROM r WHERE NOT ref GROUP BY lang),
+o AS (SELECT root, quota, coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, lead(root) OVER w AS after FROM g LEFT JOIN q USING (lang) WINDOW w AS (PARTITION BY lang ORDER BY sha256('split:' || root), root))
+SELECT clip_id, r.root AS group_id, lang, CASE WHEN before < quota AND after IS NOT NULL THEN 'val' ELSE 'train' END AS split FROM r LEFT JOIN o USING (root)""")
+def split_records(s, d):
+    return identity.split_records(table(s, d, "clips"))
 
 
 @query(f"""WITH k AS (SELECT clip_id, {sql_key('speaker')} AS who, lang, coalesce(origin_audio, audio) AS origin, duration FROM clips WHERE speaker_verified AND lang IS NOT NULL),
@@ -270,7 +282,8 @@ def top_k_risk(s, d):
     return sampling.top_k(r, ["report_id", "lang"], [F.desc("cer"), F.col("case_id"), F.col("seed"), F.col("scored_at"), F.asc_nulls_last("hyp")], 5).select("report_id", "case_id", "seed", "cer")
 
 
-@query()
+@query(f"""WITH c AS (SELECT clip_id, greatest(duration - 3.0, 0.0) AS room FROM clips WHERE {DUR_OK}), w AS (SELECT clip_id, room, unnest([round(i * 1.5, 6) for i in range(0, floor(room / 1.5)::BIGINT + 1)]) AS start FROM c)
+SELECT clip_id, start FROM w UNION ALL SELECT clip_id, round(room, 6) FROM c WHERE round(floor(room / 1.5) * 1.5, 6) < round(room, 6)""")
 def fixed_windows(s, d):
     return ok_clips(s, d).select("clip_id", F.explode(sampling.fixed_windows(F.col("duration"), 3.0, 1.5)).alias("start"))
 
