@@ -137,7 +137,15 @@ r AS (SELECT *, CASE WHEN who IS NULL THEN 1 ELSE row_number() OVER (PARTITION B
         ORDER BY CASE WHEN isnan(dnsmos_overall) THEN NULL ELSE dnsmos_overall END DESC NULLS LAST, clip_id) END AS n FROM k)
 """
 
+_TIED = f"""
+WITH RECURSIVE m AS (SELECT clip_id AS id, 's' || {_key('speaker')} AS key FROM clips WHERE speaker_verified UNION ALL SELECT clip_id, 'e' || source_id || '|' || {_key('session')} FROM clips),
+f AS (SELECT id, min(id) OVER (PARTITION BY key) AS first FROM m WHERE key IS NOT NULL),
+e AS (SELECT DISTINCT id AS a, first AS b FROM f WHERE id <> first UNION SELECT first, id FROM f WHERE id <> first),
+cc(id, root) USING KEY (id) AS (SELECT clip_id, clip_id FROM clips UNION SELECT e.b, min(cc.root) FROM cc JOIN e ON e.a = cc.id JOIN recurring.cc AS old ON old.id = e.b WHERE cc.root < old.root GROUP BY e.b)
+"""
+
 ORACLES: dict[str, str] = {
+    "p3_found": _TIED + "SELECT id AS clip_id, root AS group_id FROM cc QUALIFY count(*) OVER (PARTITION BY root) > 1",
     "p7_found": _CAPPED + "SELECT clip_id FROM r WHERE n > 20",
     "p7_kept": _CAPPED + "SELECT clip_id, speaker, emotion, dnsmos_overall FROM r WHERE n <= 20",
     "p4_found": """
