@@ -15,13 +15,12 @@ from weft.llm.letters import letters_of
 from weft.session import materialise
 
 MIN_LETTERS, PERCENT = 20, 10
-#: Ratio of the lengths in a band, letters in a block of a band and in a piece of a block, and candidates handled together.
-BAND, BLOCK_LETTERS, PIECE_LETTERS = 1.08, 6_000_000, 500_000
-MAX_PAIRS = 30_000
-#: Rows of a key beyond which those with a fitting place are searched for.
-MANY = 5
-#: Keeps places above zero; no text is longer.
-PLACE = 1 << 30
+#: Ratio of the lengths in a band, letters in a block of a band and in a piece that is hashed at once, and candidates handled together.
+BAND, BLOCK_LETTERS, PIECE_LETTERS, MAX_PAIRS = 1.08, 48_000_000, 500_000, 100_000
+#: Bits of a hashed gram in a table and in the set of all grams of a table, evaluation texts in a table, and words of a bit plane (they fit the caches).
+GRAM_BITS, SET_BITS, TOGETHER, PLANE_WORDS = 14, 20, 2_048, 16_384
+#: Grams of a text that are counted, the rarest first, for each 100 edits allowed, and besides.
+COUNTED, SPARE = 140, 2
 
 
 def allowed(longer: np.ndarray | int):
@@ -129,239 +128,246 @@ def banded_distance(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray
     return out
 
 
-def _join(a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
-    h = a * np.uint32(0x9E3779B1 + 2 * kind)
-    h += b
-    h ^= h >> np.uint32(15)
-    h *= np.uint32(0x85EBCA6B)
-    h ^= h >> np.uint32(13)
-    h *= np.uint32(0xC2B2AE35)
-    return h
+def _gram(n: int) -> int:
+    """Letters of a gram for texts of about ``n`` letters: ``n // gram`` exceeds the edits allowed by enough to tell texts apart."""
+    return 4 if n < 150 else 5
 
 
-class _Present:
-    """Whether a hash may be among the given ones: one bit for each value of its leading bits."""
-
-    def __init__(self, keys: np.ndarray):
-        width = max(16, min(27, (8 * len(keys)).bit_length()))
-        self.shift = np.uint32(32 - width)
-        flags = np.zeros(1 << width, dtype=bool)
-        flags[keys >> self.shift] = True
-        self.bits = np.packbits(flags, bitorder="little")
-
-    def where(self, keys: np.ndarray) -> np.ndarray:
-        h = keys >> self.shift
-        word = self.bits[h >> np.uint32(3)]
-        h &= np.uint32(7)
-        word >>= h.astype(np.uint8)
-        word &= np.uint8(1)
-        return np.flatnonzero(word)
-
-
-class _Rows:
-    """Evaluation rows by key and place, found through a directory of the keys' leading bits."""
-
-    def __init__(self, keys: np.ndarray, place: np.ndarray, length: np.ndarray, eid: np.ndarray, seg: np.ndarray):
-        order = np.argsort((keys.astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
-        keys, self.eid = keys[order], eid[order]
-        self.length, self.spot, self.seg = length[self.eid], place[order].astype(np.int32), seg[order].astype(np.int32)
-        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        self.keys, self.start = keys[new], np.r_[new, len(keys)]
-        width = max(8, min(22, (2 * len(new)).bit_length()))
-        self.shift = np.uint32(32 - width)
-        count = np.bincount(self.keys >> self.shift, minlength=1 << width)
-        self.dir = (np.cumsum(count) - count).astype(np.int32)
-        self.place = (np.repeat(np.arange(len(new)), np.diff(self.start)) << 32) | place[order]  # ascending
-        self.present = _Present(self.keys)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of ``keys`` are there, and the number of the distinct key of each."""
-        pos = self.present.where(keys)
-        keys = keys[pos]
-        at, last = self.dir[keys >> self.shift], len(self.keys) - 1
-        np.minimum(at, last, out=at)
-        low = np.flatnonzero(self.keys[at] < keys)
-        while len(low):
-            at[low] += 1
-            low = low[at[low] <= last]
-            low = low[self.keys[at[low]] < keys[low]]
-        np.minimum(at, last, out=at)
-        ok = np.flatnonzero(self.keys[at] == keys)
-        return pos[ok], at[ok]
-
-    def rows_of(self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows with these keys, of frequent keys only those with a place from ``lo`` to ``hi``, and the number of the query; in pieces."""
-        first, n = self.start[at], self.start[at + 1]
-        n -= first
-        many = np.flatnonzero(n > MANY)
-        if len(many):
-            base = at[many].astype(np.int64) << 32
-            first[many] = np.searchsorted(self.place, base + lo[many])
-            n[many] = np.searchsorted(self.place, base + hi[many], side="right") - first[many]
-        total = np.r_[0, np.cumsum(n)]
-        start = 0
-        while start < len(n):
-            stop = max(start + 1, int(np.searchsorted(total, total[start] + MAX_PAIRS, side="right")) - 1)
-            m = n[start:stop]
-            row = np.repeat(first[start:stop] - (total[start:stop] - total[start]), m)
-            row += np.arange(len(row))
-            yield row, np.repeat(np.arange(start, stop, dtype=np.int32), m)
-            start = stop
+def _pieces(texts: list[str]) -> Iterator[list[str]]:
+    size, start = 0, 0
+    for stop, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= PIECE_LETTERS or stop == len(texts):
+            yield texts[start:stop]
+            size, start = 0, stop
+
 
+def _rows(hashes: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Rows of a table for grams that stand in a cell."""
+    h = cell.astype(np.uint32) * np.uint32(0x9E3779B1)
+    h ^= hashes
+    h *= np.uint32(0x85EBCA6B)
+    return h >> np.uint32(32 - GRAM_BITS)
+
+
+class Grams:
+    """Texts in the order of their lengths, and of each the rarest of the grams that stand side by side, as hashes and table rows."""
+
+    def __init__(self, texts: list[str], q: int, width: int, often: np.ndarray):
+        self.order = np.argsort([len(t) for t in texts], kind="stable")
+        hashes, rows, lengths, counts, least = [], [], [], [], []
+        for piece in _pieces([texts[i] for i in self.order.tolist()]):
+            codes, ends = _codes(piece)
+            n = np.diff(ends)
+            sizes = {m: most_edits(m) for m in np.unique(n).tolist()}
+            edits = np.array([sizes[m] for m in n.tolist()])
+            g = n // q
+            owner, first = np.repeat(np.arange(len(n)), g), np.cumsum(g) - g
+            inside = (np.arange(len(owner)) - first[owner]) * q
+            h = _runs(codes, q, len(codes))[ends[owner] + inside]
+            rarest = np.argsort((owner << 32) + often[h >> np.uint32(32 - SET_BITS)])
+            used = np.minimum(g, edits * COUNTED // 100 + SPARE)
+            rarest = rarest[np.arange(len(owner)) - first[owner] < used[owner]]
+            hashes.append(h[rarest])
+            rows.append(_rows(hashes[-1], inside[rarest] // width).astype(np.uint16))
+            lengths.append(n)
+            counts.append(used)
+            least.append(np.maximum(0, used - edits))
+        self.hashes, self.rows, self.length, self.count, self.least = map(np.concatenate, (hashes, rows, lengths, counts, least))
+        self.start = np.cumsum(self.count) - self.count
+
+
+def _often(texts: list[str], q: int) -> np.ndarray:
+    """How often grams of each hash occur."""
+    out = np.zeros(1 << SET_BITS, dtype=np.int64)
+    for piece in _pieces(texts):
+        codes, _ = _codes(piece)
+        out += np.bincount(_runs(codes, q, len(codes)) >> np.uint32(32 - SET_BITS), minlength=1 << SET_BITS)
+    return out
 
-@lru_cache(1 << 16)
-def _segment(n: int) -> int:
-    """Length of the segments of a text of ``n`` letters: never less for a longer text."""
-    return min(m // (most_edits(m) + 3) for m in range(n, n + 90)) if n < 1_000 else n // (most_edits(n) + 3)
-
-
-class SegmentIndex:
-    """Keys of evaluation texts, to be met by the substrings of training texts.
-
-    An evaluation text with at most ``k`` edits to any other is cut into
-    ``k + 3`` segments of ``s`` letters. Let a run be three segments in a row of
-    which the first is unchanged, the first two have at most one edit and all
-    three at most two. A run exists: go through the segments from the left and
-    skip, where no run starts, as many as show it (one with an edit; two with
-    two edits; three with three). Each skip passes at least as many edits as
-    segments, and the last two segments left over can be unchanged, so without a
-    run there are at least ``k + 1`` edits. It also follows that at least ``j``
-    edits lie before the run that starts with segment ``j``.
-
-    Of the halves (near, far) of the second segment one is unchanged, and of
-    the third one too if the second has an edit. So a run shows one of five
-    keys, each of 12 to 16 letters over up to 24: the first segment with the
-    whole second; or with the near or far half of the second and the near or
-    far half of the third, where a half behind an edit may stand a letter or two
-    off. Of the distances by which the run is off its place as counted from the
-    start and from the end, the sum is at most the edits allowed, so rows of a key are
-    kept in the order of both places' sum. Training texts look up the first
-    segment and shorter keys before the whole ones.
+
+def _alike(texts: list[str]) -> list[np.ndarray]:
+    """The indexes of the texts in groups of like letters (mostly a language each), of like lengths, for one table each."""
+    length = np.array([len(t) for t in texts])
+    group, k = np.zeros(len(texts), dtype=np.int64), min(32, len(texts) // 256)
+    if k > 1:
+        share, at = np.zeros((len(texts), 64), dtype=np.float32), 0
+        for piece in _pieces(texts):
+            codes, ends = _codes(piece)
+            cell = np.repeat(np.arange(len(piece)) * 64, np.diff(ends)) + (codes & np.uint32(63))
+            share[at : at + len(piece)] = np.bincount(cell, minlength=len(piece) * 64).reshape(-1, 64) / np.diff(ends)[:, None]
+            at += len(piece)
+        some = share[:: max(1, len(share) // 4_000)]
+        mean = some.mean(axis=0, keepdims=True)
+        apart = lambda x: (x**2).sum(axis=1)[:, None] + (mean**2).sum(axis=1) - 2 * np.einsum("ij,kj->ik", x, mean)
+        while len(mean) < k:
+            mean = np.concatenate([mean, some[[apart(some).min(axis=1).argmax()]]])
+        for _ in range(8):
+            own = apart(some).argmin(axis=1)
+            mean = np.stack([some[own == i].mean(axis=0) if (own == i).any() else mean[i] for i in range(k)])
+        group = apart(share).argmin(axis=1)
+    order = np.lexsort((length, group))
+    return [part[at : at + TOGETHER] for part in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) for at in range(0, len(part), TOGETHER)]
+
+
+class SharedGrams:
+    """Counts which grams of a text occur in each of many evaluation texts.
+
+    A text is cut into grams side by side. An edit breaks at most one of them, so of
+    any ``g`` of them at least ``g`` less the edits allowed occur in a near text, at most
+    those edits off their place: a filter that loses nothing. For each hashed gram and cell
+    of ``width`` letters there is a row of bits, one for each evaluation text that
+    has it there or as far off as edits can move it. The rows of a text's grams are
+    added up bit by bit, 64 evaluation texts in a word, so the cost of a pair is the
+    same whether the texts share stock phrases or not. Texts of which too few grams
+    occur in any of the evaluation texts, or whose length fits none, are left out before.
     """
 
-    def __init__(self, texts: list[str]):
-        self.codes, self.ends = _codes(texts)
-        self.length = np.diff(self.ends).astype(np.int32)
-        sizes = {n: (most_edits(n), _segment(n)) for n in np.unique(self.length).tolist()}
-        self.edits = np.array([sizes[n][0] for n in self.length.tolist()], dtype=np.int32)
-        size = np.array([sizes[n][1] for n in self.length.tolist()])
-        self.words = 1 << min(9, max(3, (int(self.length.max()) // 8).bit_length()))  # 8 to 16 bits a letter of the longest text
-        self.sketch = _sketch(self.codes, self.ends, 4, self.words)
-        self.parts = []
-        for s in np.unique(size).tolist():
-            own = np.flatnonzero(size == s)
-            per = self.edits[own] + 1  # the last two segments start no run
-            eid = np.repeat(own, per)
-            seg = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-            x, n = self.ends[eid] + seg * s, s // 2
-            near, far = (_runs(self.codes, w, len(self.codes) + 4 * s) for w in (n, s - n))
-            place = 2 * seg * s - self.length[eid] + PLACE
-            first = _join(near[x], far[x + n], 0)
-            steps = [_join(first, near[x + s], 1), _join(first, far[x + s + n], 2)]
-            keys = [_join(m, h, 4) for m in steps for h in (near[x + 2 * s], far[x + 2 * s + n])]
-            tables = [_Rows(k, place, self.length, eid, seg) for k in keys]
-            whole = _join(steps[0], far[x + s + n], 3)
-            steps.append(whole)
-            last = seg == self.edits[eid]  # no fourth segment
-            tables.append(_Rows(whole[last], place[last], self.length, eid[last], seg[last]))
-            x, whole, place, eid, seg = x[~last], whole[~last], place[~last], eid[~last], seg[~last]
-            tables += [_Rows(_join(whole, h, 5), place, self.length, eid, seg) for h in (near[x + 3 * s], far[x + 3 * s + n])]
-            self.parts.append((s, _Present(first), [_Present(m) for m in steps], tables))
-
-    def candidates(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Sorted distinct ``eval index * training texts + training index`` of the pairs that share a key and pass the filters."""
-        length = np.diff(ends).astype(np.int32)
-        owner = np.repeat(np.arange(len(length), dtype=np.int32), length)
-        inside = np.arange(len(codes), dtype=np.int32) - ends[owner].astype(np.int32)
-        sizes = {n: most_edits(n) for n in np.unique(length).tolist()}
-        edits = np.array([sizes[n] for n in length.tolist()], dtype=np.int32)
-        place, reach, found = 2 * inside - length[owner] + PLACE, edits[owner], []
-        for s, starts, steps, keys in self.parts:
-            n = s // 2
-            near, far = (_runs(codes, w, len(codes) + 4 * s) for w in (n, s - n))
-            first = _join(near[: len(codes)], far[n : len(codes) + n], 0)
-            pos = starts.where(first)
-            first = first[pos]
-            jobs = []
-            key = _join(first, near[pos + s], 1)
-            some = steps[0].where(key)
-            p, m = pos[some], key[some]
-            jobs += [(keys[0], p, _join(m, near[p + 2 * s + d], 4)) for d in (-1, 0, 1)]
-            jobs += [(keys[1], p, _join(m, far[p + 2 * s + n + d], 4)) for d in (-2, -1, 0, 1, 2)]
-            key = _join(m, far[p + s + n], 3)
-            some = steps[2].where(key)
-            p, m = p[some], key[some]
-            jobs.append((keys[4], p, m))
-            jobs += [(keys[5], p, _join(m, near[p + 3 * s + d], 5)) for d in (-2, -1, 0, 1, 2)]
-            jobs += [(keys[6], p, _join(m, far[p + 3 * s + n + d], 5)) for d in (-3, -2, -1, 0, 1, 2, 3)]
-            for d in (-1, 0, 1):
-                key = _join(first, far[pos + s + n + d], 2)
-                some = steps[1].where(key)
-                p, m = pos[some], key[some]
-                jobs.append((keys[2], p, _join(m, near[p + 2 * s + d], 4)))
-                jobs += [(keys[3], p, _join(m, far[p + 2 * s + n + d + g], 4)) for g in (-1, 0, 1)]
-            for table, p, key in jobs:
-                some, at = table.find(key)
-                p = p[some]
-                t, c, r = owner[p], place[p], reach[p]
-                own = length[t]
-                for row, k in table.rows_of(at, c - r, c + r):
-                    off = table.spot[row]  # less c: how far the run is off its places, from the start and from the end
-                    off -= c[k]
-                    ok = np.flatnonzero(np.abs(off) <= r[k])
-                    row, k, off = row[ok], k[ok], off[ok]
-                    delta, tau = table.length[row], r[k]
-                    delta -= own[k]
-                    off -= delta  # twice the distance from the end
-                    ok = np.flatnonzero((np.abs(delta) <= tau) & (np.abs(off) <= 2 * (tau - table.seg[row])))
-                    found.append((table.eid[row[ok]] << 32) | t[k[ok]])
-        found = [x for x in found if len(x)]
-        if not found:
-            return np.zeros(0, np.int64)
-        pairs = np.concatenate(found)
-        pairs.sort()
-        pairs = pairs[np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])]
-        sketch, kept = _sketch(codes, ends, 4, self.words), [pairs[:0]]
-        step = max(1, MAX_PAIRS * 16 // self.words)
-        for at in range(0, len(pairs), step):
-            some = pairs[at : at + step]
-            e, t = some >> 32, some & 0xFFFFFFFF
-            tau = allowed(np.maximum(length[t], self.length[e]))
-            ok = np.flatnonzero((np.abs(length[t] - self.length[e]) <= tau))
-            e, t, tau = e[ok], t[ok], tau[ok]
-            ok = _differ(self.sketch, e, sketch, t) <= 8 * tau
-            kept.append(e[ok] * len(length) + t[ok])
-        return np.concatenate(kept)
+    def __init__(self, texts: list[str], q: int, width: int):
+        self.count, words = len(texts), -(-len(texts) // 64)
+        self.table = np.zeros(((1 << GRAM_BITS) + 1, words), dtype=np.uint64)  # the last row is of no gram
+        self.any = np.zeros(1 << SET_BITS, dtype=bool)
+        lengths = [len(t) for t in texts]
+        self.shortest, self.longest = min(lengths), max(lengths)
+        for at in range(0, len(texts), 1_024):
+            codes, ends = _codes(texts[at : at + 1_024])
+            rows = len(ends) - 1
+            n = np.diff(ends).astype(np.int32)
+            flags = np.zeros((1 << GRAM_BITS, -(-rows // 64) * 64), dtype=bool)
+            owner = np.repeat(np.arange(rows, dtype=np.int32), n)
+            place = np.arange(len(codes), dtype=np.int32) - ends[:-1].astype(np.int32)[owner]
+            inside = np.flatnonzero(place + q <= n[owner])
+            hashes, owner, place = _runs(codes, q, len(codes))[inside], owner[inside], place[inside]
+            off = np.array([most_edits(x) for x in n.tolist()], dtype=np.int32)[owner]
+            cell, last = np.maximum(0, place - off) // width, (place + off) // width
+            self.any[hashes >> np.uint32(32 - SET_BITS)] = True
+            while len(cell):
+                flags.reshape(-1)[_rows(hashes, cell) * np.uint32(flags.shape[1]) + owner.view(np.uint32)] = True
+                more = np.flatnonzero(cell < last)
+                hashes, owner, cell, last = hashes[more], owner[more], cell[more] + 1, last[more]
+            self.table[:-1, at // 64 : at // 64 + flags.shape[1] // 64] = np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+
+    def candidates(self, grams: Grams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Indexes of evaluation and other texts that share enough grams; in pieces."""
+        first, last = np.searchsorted(grams.length, [-(-self.shortest * (100 - PERCENT) // 100), self.longest * 100 // (100 - PERCENT) + 1])
+        if first == last:
+            return
+        begin = grams.start[first]
+        there = self.any[grams.hashes[begin : grams.start[last - 1] + grams.count[last - 1]] >> np.uint32(32 - SET_BITS)]
+        enough = np.add.reduceat(there, grams.start[first:last] - begin, dtype=np.int64) >= grams.least[first:last]
+        texts, step = first + np.flatnonzero(enough), max(1, PLANE_WORDS // self.table.shape[1])
+        for at in range(0, len(texts), step):
+            own = texts[at : at + step]
+            nth = np.arange(int(grams.count[own].max()))[:, None]
+            spot = np.minimum(grams.start[own] + nth, len(grams.rows) - 1)
+            rows = np.where(nth < grams.count[own], grams.rows[spot], 1 << GRAM_BITS)
+            reached = self._reached(rows, grams.least[own])
+            y, word = np.nonzero(reached)
+            bit = np.flatnonzero(np.unpackbits(reached[y, word].view(np.uint8), bitorder="little"))
+            e = word[bit >> 6] * 64 + (bit & 63)
+            real = e < self.count
+            yield e[real], grams.order[own[y[bit >> 6]][real]]
+
+    def _reached(self, rows: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Bits of the evaluation texts that have at least ``least[i]`` of the grams ``rows[:, i]``."""
+        shape = (rows.shape[1], self.table.shape[1])
+        top = int(least.max()).bit_length()  # a count begins so that it passes 2 ** top when enough are there
+        levels: list[list[np.ndarray]] = [[] for _ in range(top)]
+        over, free = np.zeros(shape, dtype=np.uint64), []
+        start = (1 << top) - least
+        over[start >= 1 << top] = ~np.uint64(0)
+        for j in range(top):
+            levels[j].append(np.where((start >> j & 1).astype(bool)[:, None], ~np.uint64(0), np.uint64(0)).repeat(shape[1], axis=1))
+
+        def carry(j: int, x: np.ndarray) -> None:
+            if j < top:
+                levels[j].append(x)
+            else:
+                np.bitwise_or(over, x, out=over)
+                free.append(x)
+
+        def add(j: int) -> None:
+            while j < top and len(levels[j]) > 2:
+                a, b, c = levels[j]
+                t = free.pop() if free else np.empty(shape, dtype=np.uint64)
+                np.bitwise_xor(a, b, out=t)
+                np.bitwise_and(a, b, out=a)
+                np.bitwise_xor(t, c, out=b)
+                np.bitwise_and(t, c, out=t)
+                np.bitwise_or(a, t, out=a)
+                levels[j] = [b]
+                free.extend((t, c))
+                carry(j + 1, a)
+                j += 1
+
+        for row in rows if top else ():
+            levels[0].append(self.table.take(row, axis=0, out=free.pop() if free else np.empty(shape, dtype=np.uint64), mode="clip"))
+            add(0)
+        for j in range(top):
+            add(j)
+            if len(levels[j]) == 2:
+                carry(j + 1, np.bitwise_and(*levels[j]))
+        return over
 
 
 def segment_join(eval_texts: list[str], train_texts: list[str]) -> list[tuple[int, int, int]]:
     """``(eval index, train index, distance)`` of all pairs within the allowed edits.
 
-    Candidates share a key of a ``SegmentIndex`` at an allowed position and pass
-    filters that lose nothing (lengths, sketches of runs of letters); they are
-    verified by banded dynamic programming. Training texts go through the index
-    in pieces of bounded size.
+    Candidates share enough grams and pass filters that lose nothing (lengths,
+    sketches of runs of letters); they are verified by banded dynamic
+    programming. Both sides are taken in pieces of bounded size.
     """
-    if not eval_texts or not train_texts:
-        return []
-    index = SegmentIndex(eval_texts)
     out: list[tuple[int, int, int]] = []
-    size, start = 0, 0
-    for stop, text in enumerate(train_texts, 1):
-        size += len(text)
-        if size >= PIECE_LETTERS or stop == len(train_texts):
-            out += [(e, start + t, d) for e, t, d in _verified(index, train_texts[start:stop])]
-            size, start = 0, stop
-    return out
-
-
-def _verified(index: SegmentIndex, train_texts: list[str]) -> list[tuple[int, int, int]]:
-    ec, ee, el = index.codes, index.ends, index.length
-    tc, te = _codes(train_texts)
-    tl = np.diff(te)
-    pairs = index.candidates(tc, te)
+    if not eval_texts or not train_texts:
+        return out
+    longest = max(map(len, train_texts))
+    q, width = _gram(longest), most_edits(longest) + 1
+    grams, found, n = Grams(train_texts, q, width, _often(eval_texts, q)), [], 0
+    words = 1 << min(9, max(3, (max(longest, *map(len, eval_texts)) // 16).bit_length()))  # 4 to 8 bits a letter of the longest text
+    held, train = _Sketches(eval_texts, words), _Sketches(train_texts, words)
+    for own in _alike(eval_texts):
+        for e, t in SharedGrams([eval_texts[i] for i in own.tolist()], q, width).candidates(grams):
+            found.append((own[e], t))
+            n += len(e)
+            if n >= MAX_PAIRS:
+                out += _near(held, train, found)
+                found, n = [], 0
+    return out + _near(held, train, found)
+
+
+class _Sketches:
+    """Texts and their sketches, made when they are first asked for."""
+
+    def __init__(self, texts: list[str], words: int):
+        self.texts, self.length = texts, np.array([len(t) for t in texts])
+        self.sketch, self.made = np.empty((len(texts), words), dtype=np.uint64), np.zeros(len(texts), dtype=bool)
+
+    def of(self, own: np.ndarray) -> np.ndarray:
+        new = np.zeros(len(self.texts), dtype=bool)
+        new[own] = True
+        new = np.flatnonzero(new & ~self.made)
+        if len(new):
+            self.sketch[new] = _sketch(*_codes([self.texts[i] for i in new.tolist()]), 4, self.sketch.shape[1])
+            self.made[new] = True
+        return self.sketch
+
+
+def _near(held: _Sketches, train: _Sketches, found: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
     out: list[tuple[int, int, int]] = []
-    e, t = pairs // len(tl), pairs % len(tl)
+    if not found:
+        return out
+    e, t = (np.concatenate(x) for x in zip(*found))
+    el, tl = held.length, train.length
+    tau = allowed(np.maximum(el[e], tl[t]))
+    ok = np.flatnonzero(np.abs(el[e] - tl[t]) <= tau)
+    e, t, tau = e[ok], t[ok], tau[ok]
+    a, b, kept = held.of(e), train.of(t), [ok[:0]]
+    step = max(1, 480_000 // a.shape[1])
+    for at in range(0, len(e), step):
+        some = slice(at, at + step)
+        kept.append(at + np.flatnonzero(_differ(a, e[some], b, t[some]) <= 8 * tau[some]))
+    ok = np.concatenate(kept)
+    e, t = e[ok], t[ok]
     order = np.argsort(el[e], kind="stable")
     e, t = e[order], t[order]
     at = 0
@@ -371,9 +377,9 @@ def _verified(index: SegmentIndex, train_texts: list[str]) -> list[tuple[int, in
         x, y = e[at : at + step], t[at : at + step]
         tau = allowed(np.maximum(el[x], tl[y]))
         a, b = np.zeros((len(x), int(el[x].max())), np.uint32), np.zeros((len(y), int(tl[y].max())), np.uint32)
-        for r, (i, j) in enumerate(zip(x, y)):
-            a[r, : el[i]] = ec[ee[i] : ee[i + 1]]
-            b[r, : tl[j]] = tc[te[j] : te[j + 1]]
+        for r, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+            a[r, : el[i]] = np.frombuffer(held.texts[i].encode("utf-32-le"), dtype=np.uint32)
+            b[r, : tl[j]] = np.frombuffer(train.texts[j].encode("utf-32-le"), dtype=np.uint32)
         d = banded_distance(a, el[x], b, tl[y], tau)
         good = d <= tau
         out += zip(x[good].tolist(), y[good].tolist(), d[good].tolist())
