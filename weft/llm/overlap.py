@@ -186,18 +186,19 @@ def _often(texts: list[str], q: int) -> np.ndarray:
     return out
 
 
+def _shares(texts: list[str]) -> np.ndarray:
+    """Shares of the letters in each text, by their last six bits."""
+    codes, ends = _codes(texts)
+    cell = np.repeat(np.arange(len(texts)) * 64, np.diff(ends)) + (codes & np.uint32(63))
+    return (np.bincount(cell, minlength=len(texts) * 64).reshape(-1, 64) / np.diff(ends)[:, None]).astype(np.float32)
+
+
 def _alike(texts: list[str]) -> list[np.ndarray]:
     """The indexes of the texts in groups of like letters (mostly a language each), of like lengths, for one table each."""
     length = np.array([len(t) for t in texts])
     group, k = np.zeros(len(texts), dtype=np.int64), min(32, len(texts) // 256)
     if k > 1:
-        share, at = np.zeros((len(texts), 64), dtype=np.float32), 0
-        for piece in _pieces(texts):
-            codes, ends = _codes(piece)
-            cell = np.repeat(np.arange(len(piece)) * 64, np.diff(ends)) + (codes & np.uint32(63))
-            share[at : at + len(piece)] = np.bincount(cell, minlength=len(piece) * 64).reshape(-1, 64) / np.diff(ends)[:, None]
-            at += len(piece)
-        some = share[:: max(1, len(share) // 4_000)]
+        some = np.concatenate([_shares(piece) for piece in _pieces(texts[:: max(1, len(texts) // 4_000)])])
         mean = some.mean(axis=0, keepdims=True)
         apart = lambda x: (x**2).sum(axis=1)[:, None] + (mean**2).sum(axis=1) - 2 * np.einsum("ij,kj->ik", x, mean)
         while len(mean) < k:
@@ -205,7 +206,7 @@ def _alike(texts: list[str]) -> list[np.ndarray]:
         for _ in range(8):
             own = apart(some).argmin(axis=1)
             mean = np.stack([some[own == i].mean(axis=0) if (own == i).any() else mean[i] for i in range(k)])
-        group = apart(share).argmin(axis=1)
+        group = np.concatenate([apart(_shares(piece)).argmin(axis=1) for piece in _pieces(texts)])
     order = np.lexsort((length, group))
     return [part[at : at + TOGETHER] for part in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) for at in range(0, len(part), TOGETHER)]
 
